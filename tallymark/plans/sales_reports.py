@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import money, percent_text, share
+from tallymark.operators.joins import densify
 from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
@@ -457,8 +458,8 @@ def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
     The ROWS sum is over single sales and is distributed; the two peer sums need one row
     per day only.
     """
-    dense = days.join(sales, days.d_time == sales.time_id, "left").select(
-        "d_time", F.coalesce("sold_cents", F.lit(0)).alias("amount"))
+    facts = sales.select(F.col("time_id").alias("d_time"), F.col("sold_cents").alias("amount"))
+    dense = densify(days, facts, "d_time", {"amount": F.lit(0).cast("bigint")})
     rows = running_total(
         dense, [], [F.col("d_time"), F.col("amount")], F.col("amount"), "cum_sum_row")
     per_day = dense.groupBy("d_time").agg(F.sum("amount").alias("_day"))
@@ -467,6 +468,6 @@ def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
         "sum(_day) OVER (ORDER BY d_time RANGE UNBOUNDED PRECEDING) AS _group",
         "sum(_day) OVER (ORDER BY d_time RANGE BETWEEN INTERVAL '3' DAY PRECEDING AND CURRENT ROW) AS _range",
     )
-    return rows.join(peers, rows.d_time == peers["_d"]).select(
+    return rows.join(F.broadcast(peers), rows.d_time == peers["_d"]).select(
         "d_time", money("amount").alias("amount_sold"), money("cum_sum_row").alias("cum_sum_row"),
         money("_group").alias("cum_sum_group"), money("_range").alias("cum_sum_range_3_days"))
