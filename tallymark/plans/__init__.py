@@ -4,3 +4,5 @@ from tallymark.plans.registry import ORACLES, QUERIES  # noqa: F401
 from tallymark.plans import rental_reports  # noqa: F401, E402
 from tallymark.plans import sales_reports  # noqa: F401, E402
 from tallymark.plans import account_reports  # noqa: F401, E402
+from tallymark.plans import files_and_columns  # noqa: F401, E402
+from tallymark.plans import joins_and_aggregates  # noqa: F401, E402
