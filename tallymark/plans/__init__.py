@@ -7,3 +7,4 @@ from tallymark.plans import account_reports  # noqa: F401, E402
 from tallymark.plans import files_and_columns  # noqa: F401, E402
 from tallymark.plans import joins_and_aggregates  # noqa: F401, E402
 from tallymark.plans import windows_and_sets  # noqa: F401, E402
+from tallymark.plans import scalars  # noqa: F401, E402
