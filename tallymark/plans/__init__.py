@@ -9,3 +9,4 @@ from tallymark.plans import joins_and_aggregates  # noqa: F401, E402
 from tallymark.plans import windows_and_sets  # noqa: F401, E402
 from tallymark.plans import scalars  # noqa: F401, E402
 from tallymark.plans import tables_and_checks  # noqa: F401, E402
+from tallymark.plans import text_and_streams  # noqa: F401, E402

@@ -180,7 +180,7 @@ batch AS (
          CASE WHEN o_orderstatus = 'F' THEN 'REF-' || o_orderkey END AS ref
   FROM orders JOIN customer ON c_custkey = o_custkey),
 checked AS (
-  SELECT batch_id, CASE WHEN person <> 'nobody' AND title <> '4-NOT SPECIFIED' OR person <> 'nobody' THEN visit_id END AS visit_id,
+  SELECT batch_id, CASE WHEN person <> 'nobody' THEN visit_id END AS visit_id,
          amount, method, ref,
          CASE WHEN person = 'nobody' THEN 'person does not exist'
               WHEN title = '4-NOT SPECIFIED' THEN 'exhibition does not exist'

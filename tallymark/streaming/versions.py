@@ -1,0 +1,31 @@
+"""Versions of a table, one folder per micro-batch; a version is complete once written."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions: a folder counts once its _SUCCESS marker is there."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """-1 before the first one."""
+    return max(_numbers(spark, path), default=-1)
+
+
+def read_version(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
+    """The newest version with a number below ``before``; empty if there is none."""
+    earlier = [n for n in _numbers(spark, path) if n < before]
+    if not earlier:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={earlier[-1]}")
+
+
+def write_version(df: DataFrame, path: str, number: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/version={number}")
