@@ -12,7 +12,7 @@ from tallymark.functions.text import (
     ascii_words, brackets_balance, combinations, find_substring, title_case, words)
 from tallymark.operators.lists import comma_lists
 from tallymark.plans.registry import query
-from tallymark.sources.tables import table
+from tallymark.sources.tables import spread, table
 
 # --- h: scalar functions ------------------------------------------------------------------
 
@@ -103,7 +103,7 @@ SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z]+')) AS ascii_words,
        len(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), lambda w: w <> ''))) AS distinct_words
 FROM documents""")
 def h10(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id", F.size(ascii_words("text")).alias("ascii_words"),
         F.size(words("text")).alias("words"),
         F.size(F.array_distinct(words("text"))).alias("distinct_words"))
