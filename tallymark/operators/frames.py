@@ -45,12 +45,15 @@ def fill_with(df: DataFrame, column: str, statistic: Column) -> DataFrame:
 def describe(df: DataFrame, keys: Sequence[str], value: str,
              quantiles: dict[str, float]) -> DataFrame:
     """count, mean, sample deviation, min, exact quantiles and max, also per group."""
-    stats = df.groupBy(*keys).agg(
+    only = [*keys] or ["_all"]
+    base = df if keys else df.withColumn("_all", F.lit(0))
+    stats = base.groupBy(*only).agg(
         F.count(value).alias("count"), F.round(F.avg(value), 4).alias("mean"),
         F.round(F.stddev_samp(value), 4).alias("std"), F.min(value).alias("min"),
         F.max(value).alias("max"))
-    points = exact_quantiles(df, keys, value, quantiles)
-    return stats.join(points, [*keys]) if keys else stats.crossJoin(F.broadcast(points))
+    points = exact_quantiles(base, only, value, quantiles)
+    return stats.join(points, only).select(
+        *keys, "count", "mean", "std", "min", *quantiles, "max")
 
 
 def row_extreme_flags(df: DataFrame, column: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -30,26 +31,37 @@ def bounded(df: DataFrame, most: int, what: str) -> DataFrame:
 
 
 def earliest_pair_with_sum(df: DataFrame, keys: Sequence[str], value: str, position: str,
-                           target: Column) -> DataFrame:
+                           target: int) -> DataFrame:
     """Per group the pair of values adding up to ``target`` whose second member comes first.
 
-    Only the first place of each value matters (and the second place of half the target),
-    so the join is between distinct values: no pairs of rows are formed. Groups without
-    a pair are absent.
+    A value and its partner meet in the group of the smaller of the two, where only the
+    first place of each matters; half of the target is its own partner and needs its two
+    first places. So nothing is joined and no pairs of rows are formed. Groups without a
+    pair are absent.
     """
-    firsts = df.groupBy(*keys, value).agg(F.min(position).alias("_first"))
-    a = firsts.select(*keys, F.col(value).alias("first_value"), F.col("_first").alias("_a"))
-    b = firsts.select(*keys, (target - F.col(value)).alias("first_value"),
-                      F.col(value).alias("second_value"), F.col("_first").alias("_b"))
-    unequal = a.join(b, [*keys, "first_value"]).filter(F.col("_a") < F.col("_b"))
-    halves = df.filter(F.col(value) * 2 == target)
-    again = (
-        halves.join(firsts, [*keys, value]).filter(F.col(position) > F.col("_first"))
-        .groupBy(*keys, value).agg(F.min(position).alias("_b"), F.min("_first").alias("_a"))
-        .select(*keys, F.col(value).alias("first_value"), "_a",
-                F.col(value).alias("second_value"), "_b")
+    here, partner = F.col(value), target - F.col(value)
+    low = F.least(here, partner)
+    first_low = F.min(F.when(here < partner, F.col(position)))
+    first_high = F.min(F.when(here > partner, F.col(position)))
+    unequal = (
+        df.filter(here != partner).groupBy(*keys, low.alias("_low"))
+        .agg(first_low.alias("_l"), first_high.alias("_h"))
+        .filter(F.col("_l").isNotNull() & F.col("_h").isNotNull())
     )
-    pairs = unequal.unionByName(again)
-    best = F.min_by(F.struct("first_value", "second_value", F.col("_a").alias("first_pos"),
-                             F.col("_b").alias("second_pos")), "_b")
-    return pairs.groupBy(*keys).agg(best.alias("_p")).select(*keys, "_p.*")
+    low_first = F.col("_l") < F.col("_h")
+    ordered = unequal.select(
+        *keys,
+        F.when(low_first, F.col("_low")).otherwise(target - F.col("_low")).alias("first_value"),
+        F.when(low_first, target - F.col("_low")).otherwise(F.col("_low")).alias("second_value"),
+        F.least("_l", "_h").alias("first_pos"), F.greatest("_l", "_h").alias("second_pos"))
+    w = W.partitionBy(*keys).orderBy(position)
+    halves = (
+        df.filter(here == partner).withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 2)
+        .groupBy(*keys).agg(F.min(value).alias("first_value"), F.min(value).alias("second_value"),
+                            F.min(position).alias("first_pos"), F.max(position).alias("second_pos"),
+                            F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") == 2).drop("_n")
+    )
+    pairs = ordered.unionByName(halves)
+    parts = ("first_value", "second_value", "first_pos", "second_pos")
+    return pairs.groupBy(*keys).agg(F.min_by(F.struct(*parts), "second_pos").alias("_p")).select(*keys, "_p.*")

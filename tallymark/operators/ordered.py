@@ -107,17 +107,18 @@ def rank_in_group(
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]
 ) -> DataFrame:
-    """Linear-interpolation quantiles from value counts; no group is held in one task."""
-    only = [*keys] or ["_all"]
-    base = df if keys else df.withColumn("_all", F.lit(0))
+    """Linear-interpolation quantiles from value counts; no group is held in one task.
+
+    ``keys`` has at least one column; for a whole table that is a constant.
+    """
     sizes = (
-        base.filter(F.col(value).isNotNull())
-        .groupBy(*only, value)
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    running = running_total(sizes, only, [F.col(value)], F.col("_n"), "_hi")
-    totals = sizes.groupBy(*only).agg(F.sum("_n").alias("_total"))
-    joined = running.join(totals if keys else F.broadcast(totals), only)
+    running = running_total(sizes, keys, [F.col(value)], F.col("_n"), "_hi")
+    totals = running.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    joined = running.join(totals, [*keys])
 
     def at(index: Column) -> Column:
         inside = (F.col("_hi") > index) & (F.col("_hi") - F.col("_n") <= index)
@@ -133,4 +134,4 @@ def exact_quantiles(
         ]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         result.append((low + (high - low) * F.col(f"_w_{name}")).alias(name))
-    return joined.groupBy(*only).agg(*wanted).select(*keys, *result)
+    return joined.groupBy(*keys).agg(*wanted).select(*keys, *result)

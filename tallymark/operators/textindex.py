@@ -86,8 +86,10 @@ def answer_lines(answers: DataFrame, block: int = BLOCK) -> DataFrame:
 def top_words(docs: DataFrame, stop_words: DataFrame, k: int) -> DataFrame:
     """The k most frequent ``[a-z]+`` words that are no stop words; of equals the one seen
     first. ``stop_words(word)``."""
-    seen = docs.select("doc_id", F.posexplode(ascii_words("text")).alias("pos", "word"))
+    # Document and place in one exact number: a struct as buffer would sort all words.
+    document = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
+    seen = docs.select(document.alias("document"), F.posexplode(ascii_words("text")).alias("pos", "word"))
     counts = seen.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
+        F.count(F.lit(1)).alias("n"), F.min(F.col("document") + F.col("pos")).alias("first"))
     kept = counts.join(stop_words.select("word"), "word", "left_anti")
     return kept.orderBy(F.col("n").desc(), "first").limit(k).select("word", "n")

@@ -216,7 +216,7 @@ pairs AS (SELECT a.p_brand, a.val AS first_value, b.val AS second_value, a.pos A
 SELECT p_brand, first_value, second_value, first_pos, second_pos FROM pairs WHERE rn = 1""")
 def c13(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_brand", "p_partkey", "p_size")
-    return earliest_pair_with_sum(part, ["p_brand"], "p_size", "p_partkey", F.lit(60))
+    return earliest_pair_with_sum(part, ["p_brand"], "p_size", "p_partkey", 60)
 
 
 # --- d: aggregations ----------------------------------------------------------------------

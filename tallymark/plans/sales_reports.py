@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import money, percent_text, share
-from tallymark.operators.joins import densify
 from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
@@ -455,19 +454,25 @@ def r16(spark: SparkSession, sf: str) -> DataFrame:
 def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
     """Every sale of every day, days without sales as 0, with three running sums.
 
-    The ROWS sum is over single sales and is distributed; the two peer sums need one row
-    per day only.
+    A row of 0 is put in for every day; those of days with sales are taken out at the end,
+    when the sums are done. The ROWS sum is over single sales and is distributed; the two
+    peer sums need one row per day. All of it reads the sales once, from the buckets of
+    the running total.
     """
-    facts = sales.select(F.col("time_id").alias("d_time"), F.col("sold_cents").alias("amount"))
-    dense = densify(days, facts, "d_time", {"amount": F.lit(0).cast("bigint")})
-    rows = running_total(
-        dense, [], [F.col("d_time"), F.col("amount")], F.col("amount"), "cum_sum_row")
-    per_day = dense.groupBy("d_time").agg(F.sum("amount").alias("_day"))
+    facts = sales.select(F.col("time_id").alias("d_time"), F.col("sold_cents").alias("amount"),
+                         F.lit(1).alias("_sale"))
+    put_in = days.select("d_time", F.lit(0).cast("bigint").alias("amount"), F.lit(0).alias("_sale"))
+    in_range = facts.join(days, "d_time", "left_semi")
+    rows = running_total(in_range.unionByName(put_in), [], [F.col("d_time"), F.col("amount")],
+                         F.col("amount"), "cum_sum_row")
+    per_day = rows.groupBy("d_time").agg(
+        F.sum("amount").alias("_day"), F.max("_sale").alias("_has_sales"))
     peers = per_day.selectExpr(
-        "d_time AS _d",
-        "sum(_day) OVER (ORDER BY d_time RANGE UNBOUNDED PRECEDING) AS _group",
+        "d_time AS _d", "_has_sales", "sum(_day) OVER (ORDER BY d_time RANGE UNBOUNDED PRECEDING) AS _group",
         "sum(_day) OVER (ORDER BY d_time RANGE BETWEEN INTERVAL '3' DAY PRECEDING AND CURRENT ROW) AS _range",
     )
-    return rows.join(F.broadcast(peers), rows.d_time == peers["_d"]).select(
+    kept = rows.join(F.broadcast(peers), rows.d_time == peers["_d"]).filter(
+        F.col("_sale") == F.col("_has_sales"))
+    return kept.select(
         "d_time", money("amount").alias("amount_sold"), money("cum_sum_row").alias("cum_sum_row"),
         money("_group").alias("cum_sum_group"), money("_range").alias("cum_sum_range_3_days"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def has_format(spark: SparkSession, name: str) -> bool:
     """Whether the data source is on the class path (avro is a separate module)."""
     try:
         spark.read.format(name).schema("x int").load([])
-    except AnalysisException:
+    except (AnalysisException, Py4JJavaError):  # the latter wraps a class that is not found
         return False
     return True
 
