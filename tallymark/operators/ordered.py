@@ -6,8 +6,9 @@ the rows is spread over many buckets; each bucket is numbered or summed on its o
 what came before it is added from a table of at most one row per bucket.
 
 ``order`` must be a total order up to rows that are alike in every output column. Then a
-lost executor cannot change a result. The buckets are checkpointed because both the
-rows and the per-bucket totals are read from them.
+lost executor cannot change a result. The buckets are written to a table in the shared
+folder, because both the rows and the per-bucket totals are read from them and must see
+the same buckets; the totals then read only the columns they need.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallymark.session import shared_dir
+from tallymark.session import scratch_path
 
 ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in 33 bits
 
@@ -27,7 +28,6 @@ ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position i
 def range_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = None) -> DataFrame:
     """Add ``_bucket`` (range partition in ``order``) and ``_pos`` (1-based place in it)."""
     spark = df.sparkSession
-    shared_dir(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(buckets, *order)
@@ -35,7 +35,9 @@ def range_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None =
         .withColumn("_bucket", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)) + 1)
     )
-    return placed.checkpoint()
+    path = scratch_path(spark, "buckets")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num") -> DataFrame:
@@ -116,22 +118,37 @@ def exact_quantiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    running = running_total(sizes, keys, [F.col(value)], F.col("_n"), "_hi")
-    totals = running.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    joined = running.join(totals, [*keys])
+    placed = range_buckets(sizes, [*map(F.col, keys), F.col(value)])
+    whole = W.partitionBy(*keys)
+    so_far = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # A row per key and bucket: where the key's values of the bucket start and end.
+    spans = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_here")).select(
+        *keys, "_bucket", (F.sum("_here").over(so_far) - F.col("_here")).alias("_before"),
+        F.sum("_here").over(so_far).alias("_end"), F.sum("_here").over(whole).alias("_total"))
+
+    def spot(p: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(p)
+
+    places = [f(spot(p)) for p in probabilities.values() for f in (F.floor, F.ceil)]
+    holds_one = reduce(
+        lambda a, b: a | b, [(F.col("_before") <= at) & (at < F.col("_end")) for at in places])
+    # Only buckets that hold a wanted place are looked into.
+    looked_at = placed.join(spans.filter(holds_one).drop("_end"), [*keys, "_bucket"])
+    inside = W.partitionBy("_bucket", *keys).orderBy(value).rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    values = looked_at.withColumn("_hi", F.col("_before") + F.sum("_n").over(inside))
 
     def at(index: Column) -> Column:
-        inside = (F.col("_hi") > index) & (F.col("_hi") - F.col("_n") <= index)
-        return F.max(F.when(inside, F.col(value).cast("double")))
+        here = (F.col("_hi") > index) & (F.col("_hi") - F.col("_n") <= index)
+        return F.max(F.when(here, F.col(value).cast("double")))
 
     wanted, result = [], []
     for name, p in probabilities.items():
-        spot = (F.col("_total") - 1) * F.lit(p)
         wanted += [
-            at(F.floor(spot)).alias(f"_lo_{name}"),
-            at(F.ceil(spot)).alias(f"_hi_{name}"),
-            F.max(spot - F.floor(spot)).alias(f"_w_{name}"),
+            at(F.floor(spot(p))).alias(f"_lo_{name}"),
+            at(F.ceil(spot(p))).alias(f"_hi_{name}"),
+            F.max(spot(p) - F.floor(spot(p))).alias(f"_w_{name}"),
         ]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         result.append((low + (high - low) * F.col(f"_w_{name}")).alias(name))
-    return joined.groupBy(*keys).agg(*wanted).select(*keys, *result)
+    return values.groupBy(*keys).agg(*wanted).select(*keys, *result)
