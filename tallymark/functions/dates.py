@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SECONDS_A_DAY = 86400
+MICROSECONDS_A_DAY = 86_400_000_000
 
 
 def quarter_start(day: Column) -> Column:
@@ -18,7 +18,7 @@ def quarter_end(day: Column) -> Column:
 
 def days_between(start: Column, end: Column) -> Column:
     """Days with fractions, from timestamps without zone."""
-    return F.timestamp_diff("SECOND", start, end) / F.lit(SECONDS_A_DAY)
+    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(MICROSECONDS_A_DAY)
 
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallymark.session import scratch_path
+
 
 def densify(frame: DataFrame, facts: DataFrame, on: str, fill: dict[str, Column]) -> DataFrame:
     """``frame LEFT JOIN facts`` for a short ``frame`` (a calendar) and facts of any skew.
@@ -30,6 +32,18 @@ def bounded(df: DataFrame, most: int, what: str) -> DataFrame:
     return df
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table, for a result expected to be a few rows of very many.
+
+    The optimizer cannot guess that the leaders of a ranking are few and would shuffle the
+    table their names are looked up in. Of a written table it knows the size, and it
+    broadcasts it if that is below its threshold.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def earliest_pair_with_sum(df: DataFrame, keys: Sequence[str], value: str, position: str,
                            target: int) -> DataFrame:
     """Per group the pair of values adding up to ``target`` whose second member comes first.

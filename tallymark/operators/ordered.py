@@ -26,12 +26,15 @@ ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position i
 
 
 def range_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket`` (range partition in ``order``) and ``_pos`` (1-based place in it)."""
+    """Add ``_bucket`` (range partition in ``order``) and ``_pos`` (1-based place in it).
+
+    Without a number of buckets it is spark.sql.shuffle.partitions, and adaptive execution
+    joins neighbours that turn out small.
+    """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(buckets, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_bucket", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)) + 1)
     )

@@ -28,15 +28,21 @@ def build_index(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
 
 
-def save_index(index: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Partitioned by a hash of the word; the blocks of one word spread over the writers."""
+def save_index(index: DataFrame, path: str, buckets: int = BUCKETS, fmt: str = "parquet") -> None:
+    """Partitioned by a hash of the word; the blocks of one word spread over the writers.
+
+    ``fmt`` may be "json" for lines other programs can read.
+    """
     placed = index.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
     placed.repartition("bucket", "block").sortWithinPartitions("bucket", "word").write.partitionBy(
-        "bucket").parquet(path)
+        "bucket").format(fmt).save(path)
+
+
+INDEX_SCHEMA = "word string, block long, n_docs long, doc_ids array<long>, bucket int"
 
 
-def load_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+def load_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.schema(INDEX_SCHEMA).format(fmt).load(path).drop("bucket")
 
 
 def query_words(queries: DataFrame) -> DataFrame:

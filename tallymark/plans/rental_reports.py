@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallymark.functions.money import cents, money
+from tallymark.operators.joins import settled
 from tallymark.operators.topk import top_distinct_values
 from tallymark.plans.mapping import FILM_SQL, actors, film_actors, films
 from tallymark.plans.registry import query
@@ -119,14 +120,13 @@ def r02(spark: SparkSession, sf: str) -> DataFrame:
 def busiest_actors(film: DataFrame, film_actor: DataFrame, actor: DataFrame, after_year: int,
                    k: int) -> DataFrame:
     recent = film.filter(F.col("release_year") > after_year).select("film_id")
-    # Known ids only, stated up front: else the branch that is joined to names gets this
-    # filter on its own and the counts are no longer the same plan for both branches.
     counts = (
-        film_actor.filter(F.col("actor_id").isNotNull()).join(recent, "film_id", "left_semi")
+        film_actor.join(recent, "film_id", "left_semi")
         .groupBy("actor_id").agg(F.count(F.lit(1)).alias("number_of_movies"))
     )
+    busiest = settled(top_distinct_values(counts, "number_of_movies", k), "busiest")
     return (
-        top_distinct_values(counts, "number_of_movies", k).join(actor, "actor_id")
+        busiest.join(actor, "actor_id")
         .select("actor_id", "full_name", "number_of_movies")
         .orderBy(F.col("number_of_movies").desc(), "actor_id")
     )
@@ -241,11 +241,10 @@ AGE_BY_RATING = {
 
 
 def most_rented(rentals: DataFrame, film: DataFrame, k: int) -> DataFrame:
-    known = rentals.filter(F.col("film_id").isNotNull())  # see busiest_actors
-    counts = known.groupBy("film_id").agg(F.count(F.lit(1)).alias("film_rental_rate"))
+    counts = rentals.groupBy("film_id").agg(F.count(F.lit(1)).alias("film_rental_rate"))
     age = F.create_map(*[F.lit(x) for pair in AGE_BY_RATING.items() for x in pair])
     return (
-        top_distinct_values(counts, "film_rental_rate", k).join(film, "film_id")
+        settled(top_distinct_values(counts, "film_rental_rate", k), "most-rented").join(film, "film_id")
         .select("film_id", F.col("title").alias("film_title"), "film_rental_rate",
                 F.try_element_at(age, F.col("rating")).alias("age_movie_recommendation"))
         .orderBy(F.col("film_rental_rate").desc(), "film_title", "film_id")
@@ -361,7 +360,7 @@ def most_popular(rentals: DataFrame, film: DataFrame, countries: Sequence[str] |
     totals = rentals.groupBy("country", "film_id").agg(score.alias("_score"))
     w = W.partitionBy("country").orderBy(F.col("_score").desc())
     best = totals.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
-    return best.join(film, "film_id").select(
+    return settled(best, "most-popular").join(film, "film_id").select(
         "country", "film_id", F.col("title").alias("film"), "rating", "release_year", "_score")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import money, percent_text, share
+from tallymark.operators.joins import settled
 from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
@@ -44,9 +45,9 @@ def top_customers_per_channel(sales: DataFrame, names: DataFrame, k: int) -> Dat
     """
     per_customer = sales.groupBy("channel_desc", "cust_id").agg(F.sum("sold_cents").alias("_cents"))
     per_channel = per_customer.groupBy("channel_desc").agg(F.sum("_cents").alias("_channel_cents"))
-    leaders = top_rank(per_customer, ["channel_desc"], "_cents", k)
+    leaders = top_rank(per_customer, ["channel_desc"], "_cents", k).join(per_channel, "channel_desc")
     return (
-        leaders.join(per_channel, "channel_desc").join(names, "cust_id")
+        settled(leaders, "leaders").join(names, "cust_id")
         .select(
             "channel_desc", "cust_id", "cust_name", money("_cents").alias("amount_sold"),
             percent_text(share(F.col("_cents"), F.col("_channel_cents"), 4), 4).alias("sales_percentage"))
@@ -153,7 +154,7 @@ def r11(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.sum("_cents").alias("_cents"), F.countDistinct("year_sales").alias("_years"))
         .filter(F.col("_years") == len(years))
     )
-    return always.join(customer_names(spark, sf), "cust_id").select(
+    return settled(always, "always-leading").join(customer_names(spark, sf), "cust_id").select(
         "channel_desc", "cust_id", "cust_name", money("_cents").alias("amount_sold")
     ).orderBy(F.col("amount_sold").desc(), "channel_desc", "cust_id")
 
@@ -161,7 +162,8 @@ def r11(spark: SparkSession, sf: str) -> DataFrame:
 @query("r11_top300_in_all_years_joins", R11_SQL)
 def r11_joins(spark: SparkSession, sf: str) -> DataFrame:
     years = (1998, 1999, 2001)
-    leaders = yearly_leaders(order_sales(spark, sf, "1998-01-01", "2002-01-01"), years, 300)
+    leaders = settled(
+        yearly_leaders(order_sales(spark, sf, "1998-01-01", "2002-01-01"), years, 300), "yearly-leaders")
     per_year = [
         leaders.filter(F.col("year_sales") == y).select(
             "channel_desc", "cust_id", F.col("_cents").alias(f"_c{y}"))

@@ -153,6 +153,7 @@ def test_balance_rules(spark):
         (3, ts("2017-01-01"), None, 3, 100, 2050),               # more than 2 x 3 days late: replacement 20.50
         (4, ts("2017-01-01"), ts("2017-01-10"), 3, 100, 2000),   # exactly 6 days late: 6
         (5, ts("2017-03-01"), None, 3, 100, 2000),               # after the day
+        (6, ts("2017-01-01"), ts("2017-01-10 00:00:00.000001"), 3, 100, 2000),  # a moment more than 6: replacement
     ], "cust_id int, rental_date timestamp_ntz, return_date timestamp_ntz, rental_duration int, rate_cents long, replacement_cents long")
     payments = spark.createDataFrame([(1, 0.25, ts("2017-01-02")), (1, 5.0, ts("2017-03-01"))],
                                      "cust_id int, amount double, paid_at timestamp_ntz")
@@ -160,7 +161,7 @@ def test_balance_rules(spark):
     out = account_reports.customer_balances(rentals, payments, customers, "2017-02-01")
     assert rows(out, "cust_id", "late_fees", "balance") == [
         (1, 0, Decimal("0.75")), (2, 1, Decimal("2.00")), (3, 21, Decimal("22.00")), (4, 6, Decimal("7.00")),
-        (5, 0, Decimal("0.00")), (6, 0, Decimal("0.00"))]
+        (5, 0, Decimal("0.00")), (6, 20, Decimal("21.00"))]
 
 
 def test_rewards_exceed_both_limits_in_the_month_before(spark):
@@ -387,6 +388,11 @@ def test_index_blocks(index):
     assert golden == [(0, 2, [1, 5]), (700, 1, [70000])]
 
 
+def test_index_as_json(spark, index, tmp_path):
+    textindex.save_index(index, str(tmp_path / "j"), 2, "json")
+    assert rows(textindex.load_index(spark, str(tmp_path / "j"), "json")) == rows(index)
+
+
 @pytest.mark.parametrize("query, expected", [
     ("golden dataset", [5, 70000]), ("GOLDEN", [1, 5, 70000]), ("obi-van", []), ("obi van", [5]), ("hello", []),
     ("golden hello", []), ("   ", []), ("", []), ("golden golden", [1, 5, 70000]), ("d or été", [3]), ("van age", [])])

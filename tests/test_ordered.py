@@ -10,6 +10,15 @@ from tallymark.operators import folds, lists, ordered, windows
 from tallymark.operators.frames import row_slice
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_buckets(spark):
+    """Small as the tests are, their buckets must not be joined into one."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """5,000 rows; key 0 holds nine tenths of them, a tenth of the keys is NULL."""
