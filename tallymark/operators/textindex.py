@@ -22,9 +22,13 @@ def postings(docs: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(word, block, n_docs, doc_ids): ids ascending, at most ``block`` of them in a row."""
+    """(word, block, n_docs, doc_ids): ids ascending, at most ``block`` of them in a row.
+
+    Ids have nothing to combine before the shuffle, so the pairs are sent first and
+    collected once, where they arrive.
+    """
     numbered = postings(docs).withColumn("block", F.floor(F.col("doc_id") / block))
-    return numbered.groupBy("word", "block").agg(
+    return numbered.repartition("word", "block").groupBy("word", "block").agg(
         F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
 
 
