@@ -23,11 +23,11 @@ def stream_insert_if_absent(rows: DataFrame, path: str, checkpoint: str, key: Se
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ends = batch.agg(F.min(day), F.max(day)).first()
-        if ends[0] is None:
-            return
+        # Scalars of the plan, not values of the driver: a time of day without zone would
+        # come back from Python as one with the session's zone.
+        first, last = batch.agg(F.min(day)).scalar(), batch.agg(F.max(day)).scalar()
         existing = read_appended(spark, path, schema, before=batch_id).filter(
-            F.col(day).between(F.lit(ends[0]), F.lit(ends[1])))
+            F.col(day).between(first, last))
         fresh = insert_on_conflict_do_nothing(existing, batch, key, order)
         fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallymark.operators.scores import trainee_scores
 from tallymark.streaming import versions
@@ -45,7 +44,14 @@ def test_an_unfinished_version_is_not_read(spark, tmp_path):
 EVENTS = "event_id long, ts timestamp_ntz, value int"
 
 
-def test_append_ignores_what_is_there(spark, tmp_path):
+@pytest.fixture(params=["UTC", "America/New_York", "Asia/Tokyo"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_append_ignores_what_is_there(spark, tmp_path, zone):
     inbox, table, progress = (str(tmp_path / p) for p in ("inbox", "table", "progress"))
     day = dt.datetime(2024, 1, 1)
     deliveries = [[(1, day, 10), (2, day, 20), (2, day, 21)], [(2, day, 22), (3, day, 30)], [(1, day, 10), (3, day, 31)]]
