@@ -23,6 +23,7 @@ def stream_insert_if_absent(rows: DataFrame, path: str, checkpoint: str, key: Se
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()  # read for its days and for its rows
         # Scalars of the plan, not values of the driver: a time of day without zone would
         # come back from Python as one with the session's zone.
         first, last = batch.agg(F.min(day)).scalar(), batch.agg(F.max(day)).scalar()
@@ -30,6 +31,7 @@ def stream_insert_if_absent(rows: DataFrame, path: str, checkpoint: str, key: Se
             F.col(day).between(first, last))
         fresh = insert_on_conflict_do_nothing(existing, batch, key, order)
         fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)

@@ -39,7 +39,9 @@ def stream_scores(actions: DataFrame, path: str, checkpoint: str) -> StreamingQu
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = read_version(spark, path, STATE, before=batch_id)
+        batch.persist()  # read for the marks and for the counters
         write_version(merge_scores(state, score_changes(batch)), path, batch_id)
+        batch.unpersist()
 
     return (
         actions.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
