@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm.common import documents
+from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
+from tallymark.llm.mixing import MIXING_SQL, mix
 from tallymark.llm.packing import best_fit_packing
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallymark.llm.token_counts import token_counts
@@ -19,3 +21,13 @@ def op1_token_counts(spark: SparkSession, root: str) -> DataFrame:
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
     return best_fit_packing(documents(spark, root), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_line_dedup", LINE_DEDUP_SQL)
+def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return line_dedup(documents(spark, root)).select("doc_id", "n_removed", "text")
+
+
+@query("op3_mixing", MIXING_SQL)
+def op3_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mix(documents(spark, root))
