@@ -9,6 +9,7 @@ from tallymark.llm.common import documents
 from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
 from tallymark.llm.mixing import MIXING_SQL, mix
 from tallymark.llm.packing import best_fit_packing
+from tallymark.llm.quality_classifier import classify
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallymark.llm.token_counts import token_counts
 
@@ -31,3 +32,9 @@ def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 @query("op3_mixing", MIXING_SQL)
 def op3_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mix(documents(spark, root))
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root).select("doc_id", "text")
+    return classify(spark, docs, spark.read.parquet(f"{root}/labels.parquet")).drop("text")
