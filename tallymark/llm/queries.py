@@ -11,6 +11,7 @@ from tallymark.llm.mixing import MIXING_SQL, mix
 from tallymark.llm.packing import best_fit_packing
 from tallymark.llm.quality_classifier import classify
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from tallymark.llm.shingle_join import jaccard_components
 from tallymark.llm.token_counts import token_counts
 
 
@@ -38,3 +39,8 @@ def op3_mixing(spark: SparkSession, root: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     docs = documents(spark, root).select("doc_id", "text")
     return classify(spark, docs, spark.read.parquet(f"{root}/labels.parquet")).drop("text")
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard_components(documents(spark, root))
