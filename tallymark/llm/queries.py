@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm.common import documents
+from tallymark.llm.embedding_dedup import embedding_components
 from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
 from tallymark.llm.mixing import MIXING_SQL, mix
 from tallymark.llm.packing import best_fit_packing
@@ -44,3 +45,8 @@ def op6_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_components(documents(spark, root))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return embedding_components(spark.read.parquet(f"{root}/embeddings.parquet"))

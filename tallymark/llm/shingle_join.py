@@ -205,8 +205,6 @@ def _apart(rows: DataFrame, percent: int) -> DataFrame:
     `rows`: key, x, y (the two blocks to compare), own (this row's block), node, component, n, sketch,
     sorted by (key, x, y) within partitions.
     """
-    bands = Bands(percent)
-
     def pairs(block: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         x, y = block[0][1], block[0][2]
         left = [r for r in block if r[3] == x]
@@ -242,7 +240,6 @@ def _apart(rows: DataFrame, percent: int) -> DataFrame:
         for a, b in pairs(block):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    del bands
     return rows.mapInArrow(found, "a bigint, b bigint")
 
 
