@@ -11,6 +11,7 @@ from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
 from tallymark.llm.mixing import MIXING_SQL, mix
 from tallymark.llm.packing import best_fit_packing
 from tallymark.llm.quality_classifier import classify
+from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallymark.llm.shingle_join import jaccard_components
 from tallymark.llm.token_counts import token_counts
@@ -50,3 +51,8 @@ def op7_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
 @query("op10_embedding_dedup")
 def op10_embedding_dedup(spark: SparkSession, root: str) -> DataFrame:
     return embedding_components(spark.read.parquet(f"{root}/embeddings.parquet"))
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    return quality_rules(documents(spark, root))
