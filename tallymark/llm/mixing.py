@@ -70,7 +70,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     if not weights or min(weights) <= 0 or not 0 <= share <= most:
         raise ValueError("weights must be positive, and the share no more than sources may give")
     keep = [c for c in keep if c not in ("doc_id", "size", "source_size", "target", "taken")]
-    packed = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("string")
+    packed = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("string")
     text_words = docs.select(
         "doc_id", F.concat(F.lit("s"), F.col("source")).alias("src"), packed.alias("row"),
         let_words(F.col("text")).alias("words"))

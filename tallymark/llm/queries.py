@@ -15,6 +15,7 @@ from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallymark.llm.shingle_join import jaccard_components
 from tallymark.llm.token_counts import token_counts
+from tallymark.llm.url_lists import URL_LISTS_SQL, filtered_pages
 
 
 @query("op1_token_counts")
@@ -56,3 +57,8 @@ def op10_embedding_dedup(spark: SparkSession, root: str) -> DataFrame:
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules(documents(spark, root))
+
+
+@query("op4_url_filter", URL_LISTS_SQL)
+def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    return filtered_pages(spark, root)
