@@ -14,6 +14,7 @@ from tallymark.llm.quality_classifier import classify
 from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallymark.llm.shingle_join import jaccard_components
+from tallymark.llm.suffix_dedup import suffix_dedup
 from tallymark.llm.token_counts import token_counts
 from tallymark.llm.url_lists import URL_LISTS_SQL, filtered_pages
 
@@ -62,3 +63,8 @@ def op8_quality_rules(spark: SparkSession, root: str) -> DataFrame:
 @query("op4_url_filter", URL_LISTS_SQL)
 def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return filtered_pages(spark, root)
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return suffix_dedup(documents(spark, root)).drop("kept")
