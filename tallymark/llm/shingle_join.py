@@ -6,10 +6,12 @@ that: every shingle is XORed into one cell, so the cells in which two sketches d
 than the shingles in which the sets do, and by the pigeonhole principle linked documents have
 equal cells. Cells are joined by value, the pairs are verified on the whole sets.
 
-Equal sets are one class. In a bucket of classes with an equal cell, each is first verified
-against one centre; what the components of these links leave apart is then compared in blocks by
-bit sketches (a parity bit per place: their Hamming distance is a lower bound too), and the pairs
-that the sketches allow are verified in turn.
+Equal sets are one class. Classes also have a bit sketch, a parity bit per place, whose Hamming
+distance is a lower bound too. In a bucket of classes with an equal cell, each is paired with one
+centre; the pairs that the bit sketches allow connect most of what is linked. Classes of a bucket
+that are still apart are compared in blocks, and as many pairs are added as connect the rest.
+All these are verified; then every pair of a bucket that the sketches allow, and that the links
+found so far leave apart, is verified too, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -138,14 +140,14 @@ def narrowed(sketch: np.ndarray, words: int) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, bands: Bands, cells: int) -> DataFrame:
-    """(key, node) per cell, and per document a row with its doc_id and number of shingles."""
+    """(key, node) per cell, and per document a row with its doc_id, number of shingles and bit sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                key, node, owner, size = [], [], [], []
+                key, node, owner, size, bits = [], [], [], [], []
                 for i, text in enumerate(part.column(1).to_pylist()):
                     found = shingles(text)
                     own = class_of(found) if len(found) else 0
@@ -154,37 +156,57 @@ def _sketched(docs: DataFrame, bands: Bands, cells: int) -> DataFrame:
                     node.append(np.full(len(keys) + 1, own))
                     owner.append(np.r_[i, np.full(len(keys), -1)])
                     size.append(np.r_[len(found), np.zeros(len(keys), np.int64)])
+                    bits += [bit_sketch(found, sketch_width(len(found))).tobytes() if len(found) else b"",
+                             *[None] * len(keys)]
                 at = np.concatenate(owner)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(key)), pa.array(np.concatenate(node)),
                     part.column(0).take(pa.array(np.maximum(at, 0), mask=at < 0)),
-                    pa.array(np.concatenate(size), mask=at < 0)], names=["key", "node", "doc_id", "n_shingles"])
+                    pa.array(np.concatenate(size), mask=at < 0), pa.array(bits, pa.binary())],
+                    names=["key", "node", "doc_id", "n_shingles", "sketch"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        rows, f"key bigint, node bigint, doc_id {kind}, n_shingles bigint")
+        rows, f"key bigint, node bigint, doc_id {kind}, n_shingles bigint, sketch binary")
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that sizes and bit sketches allow to be linked."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
+                                  F.col("sketch").alias(f"of_{x}"))
+    fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(fit).select("a", "b", "n_a", "n_b", "of_a", "of_b")
+
+    def allowed(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                words = min(len(x), len(y))
+                apart = int(np.bitwise_count(narrowed(x, words) ^ narrowed(y, words)).sum())
+                keep.append(apart <= (n + m) * (100 - percent) // (100 + percent))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(allowed, "a bigint, b bigint")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(node, n, places, sketch): the whole set and the bit sketch of every document given."""
+    """(node, places): the whole set of every document given, if it is of that class."""
 
     def rows(batches):
         for batch in batches:
             got = [shingles(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(g) for g in got], pa.int64()),
-                pa.array([g.tobytes() for g in got], pa.binary()),
-                pa.array([bit_sketch(g, sketch_width(len(g))).tobytes() for g in got], pa.binary())],
-                names=["node", "n", "places", "sketch"])
+            own = [class_of(g) == n for g, n in zip(got, batch.column(0).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([g.tobytes() for g in got], pa.binary())],
+                names=["node", "places"]).filter(pa.array(own, pa.bool_()))
 
-    return docs.select("node", "text").mapInArrow(rows, "node bigint, n bigint, places binary, sketch binary")
+    return docs.select("node", "text").mapInArrow(rows, "node bigint, places binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("places").alias(f"of_{x}"),
-                                 F.col("n").alias(f"n_{x}"))
-    fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(fit).select("a", "b", "of_a", "of_b")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("places").alias(f"of_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
 
     def linked(batches):
         for batch in batches:
@@ -199,13 +221,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(linked, "a bigint, b bigint")
 
 
-def _apart(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a block's classes in different components that size and bit sketch allow.
+def _apart(buckets: DataFrame, groups: DataFrame, nodes: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of a bucket's classes in different components that size and bit sketch allow.
 
-    `rows`: key, x, y (the two blocks to compare), own (this row's block), node, component, n, sketch,
-    sorted by (key, x, y) within partitions.
+    forest: only as many as connect what all of them would connect. Buckets of two classes are
+    left out, as their pair has been verified already.
     """
+    bucket = Window.partitionBy("key")
+    rows = (
+        buckets.join(groups.withColumnRenamed("id", "node"), "node", "left")
+        .select("key", "node", F.coalesce("component", "node").alias("component"))
+        .withColumn("first", F.min("component").over(bucket)).withColumn("last", F.max("component").over(bucket))
+        .withColumn("many", F.count("*").over(bucket)).where("first < last and many > 2")
+    )
+    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    rows = (
+        rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own",
+                "node", "component")
+        .join(nodes.select("node", "n", "sketch"), "node")
+        .select("key", "x", "y", "own", "node", "component", "n", "sketch")
+        .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+    )
+
     def pairs(block: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per class of the first block, those it is paired with."""
         x, y = block[0][1], block[0][2]
         left = [r for r in block if r[3] == x]
         right = left if x == y else [r for r in block if r[3] == y]
@@ -213,17 +254,29 @@ def _apart(rows: DataFrame, percent: int) -> DataFrame:
             return
         words = min(len(r[7]) for r in block) // 8
         sketch = lambda side: np.stack([narrowed(np.frombuffer(r[7], "<u8"), words) for r in side])
-        column = lambda side, i: np.array([r[i] for r in side], dtype=np.int64)
-        bits, size, group, ids = sketch(right), column(right, 6), column(right, 5), column(right, 4)
-        for r, own in zip(left, sketch(left), strict=True):
-            fit = (group != r[5]) & (100 * np.minimum(size, r[6]) >= percent * np.maximum(size, r[6]))
+        column = lambda i: np.array([r[i] for r in right], dtype=np.int64)
+        names, number = np.unique([r[5] for r in [*left, *right]], return_inverse=True)
+        of_left, group = number[:len(left)], number[len(left):]
+        merged = np.arange(len(names))  # the component that each has become part of
+        bits, size, ids = sketch(right), column(6), column(4)
+        for r, own, mine in zip(left, sketch(left), of_left.tolist(), strict=True):
+            fit = (merged[group] != merged[mine]) & (
+                100 * np.minimum(size, r[6]) >= percent * np.maximum(size, r[6]))
             if x == y:
                 fit &= ids > r[4]
             at = np.flatnonzero(fit)
             most = (size[at] + r[6]) * (100 - percent) // (100 + percent)
             at = at[np.bitwise_count(bits[at] ^ own).sum(axis=1) <= most]
-            if len(at):
-                yield np.minimum(ids[at], r[4]), np.maximum(ids[at], r[4])
+            if not len(at):
+                continue
+            if forest:  # one pair per component that it meets, which are one component from now on
+                at = at[np.unique(merged[group[at]], return_index=True)[1]]
+                merged[np.isin(merged, merged[group[at]])] = merged[mine]
+            yield np.full(len(at), r[4]), ids[at]
+
+    def emitted(block: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for a, b in pairs(block):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def found(batches):
         block: list[tuple] = []
@@ -236,20 +289,16 @@ def _apart(rows: DataFrame, percent: int) -> DataFrame:
         if block:
             yield from emitted(block)
 
-    def emitted(block):
-        for a, b in pairs(block):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return rows.mapInArrow(found, "a bigint, b bigint")
+    return rows.mapInArrow(found, "a bigint, b bigint").distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, cells: int = CELLS) -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id reachable by links, itself included.
 
     Null, empty and wordless texts have no shingles and link with nothing. Rows with equal sets
-    are linked, repeated rows too, whatever their doc_ids; null ids stay rows, but name no
-    component unless there is no other id in it. Other columns are not read; an empty table gives
-    no rows.
+    are linked, repeated rows too, whatever their doc_ids. A null id names no component unless there
+    is no other id in it, and sets that come with null ids alone link with their equals only. Other
+    columns are not read; an empty table gives no rows.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
@@ -261,33 +310,21 @@ def jaccard_components(docs: DataFrame, percent: int = 80, cells: int = CELLS) -
         .where("centre < last or n_shingles is not null").drop("last"), "sketch-buckets")
     profile = table.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
     buckets = table.where("n_shingles is null").select("key", "node", "centre").distinct()
-
-    stars = written(buckets.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-                    .distinct(), "sketch-stars")
-    involved = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    carriers = (profile.join(involved, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    texts = docs.select("doc_id", "text").join(carriers, "doc_id").dropDuplicates(["node"])
-    sets = written(_sets(texts), "sketch-sets")
-    links = written(_verified(stars, sets, percent), "sketch-links")
-    groups = components(links)
-
-    rows = (
-        buckets.join(groups.withColumnRenamed("id", "node"), "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component"))
-        .withColumn("first", F.min("component").over(bucket)).withColumn("last", F.max("component").over(bucket))
-        .withColumn("many", F.count("*").over(bucket)).where("first < last and many > 2")
-    )
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    rows = (
-        rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own",
-                "node", "component")
-        .join(sets.select("node", "n", "sketch"), "node")
-        .select("key", "x", "y", "own", "node", "component", "n", "sketch")
-        .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    )
-    more = _apart(rows, percent).distinct().join(stars, ["a", "b"], "left_anti")
+    nodes = written(
+        table.where("n_shingles > 0").groupBy("node")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        "sketch-classes")
+
+    stars = buckets.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    stars = written(_likely(stars, nodes, percent), "sketch-pairs")
+    pairs = written(stars.union(_apart(buckets, components(stars), nodes, percent, forest=True)).distinct(),
+                    "sketch-pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = docs.select("doc_id", "text").join(nodes.select("node", "doc_id").join(ends, "node"), "doc_id")
+    sets = written(_sets(texts), "sketch-sets").dropDuplicates(["node"])  # a doc_id may have several texts
+    links = written(_verified(pairs, sets, percent), "sketch-links")
+    # what the verified links leave apart, though the sketches would have it together
+    more = _apart(buckets, components(links), nodes, percent, forest=False).join(pairs, ["a", "b"], "left_anti")
     links = links.union(written(_verified(written(more, "sketch-pairs"), sets, percent), "sketch-links"))
     groups = components(links).withColumnRenamed("id", "node")
 
