@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tallymark.session import scratch_path
 
+KEY_BITS = 1 << 26
+
 
 def densify(frame: DataFrame, facts: DataFrame, on: str, fill: dict[str, Column]) -> DataFrame:
     """``frame LEFT JOIN facts`` for a short ``frame`` (a calendar) and facts of any skew.
@@ -25,11 +28,31 @@ def densify(frame: DataFrame, facts: DataFrame, on: str, fill: dict[str, Column]
     return matched.unionByName(filled)
 
 
-def bounded(df: DataFrame, most: int, what: str) -> DataFrame:
-    """``df`` if it has no more than ``most`` rows; only then may it be crossed or broadcast."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"{what} has more than {most} rows")
-    return df
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the left side's keys stay."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def keep_keys(rows: DataFrame, on: str, keys: DataFrame, key: str) -> DataFrame:
+    """Most of the rows whose key is not among ``keys`` left out, before any shuffle of ``rows``.
+
+    The keys set bits in a map of KEY_BITS, which is broadcast: at most KEY_BITS / 64 rows of two
+    numbers, however many keys there are. A key that shares its bit with another stays, so the
+    join that follows decides; a NULL key goes.
+    """
+    place = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(KEY_BITS))
+    bits = (
+        keys.filter(F.col(key).isNotNull()).select(place.alias("_bit"))
+        .groupBy(F.expr("_bit div 64").alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_bits"))
+    )
+    mine = F.pmod(F.xxhash64(F.col(on).cast("bigint")), F.lit(KEY_BITS))
+    placed = rows.filter(F.col(on).isNotNull()).withColumn("_mine", mine)
+    hit = (F.expr("_mine div 64") == F.col("_word")) & (
+        F.getbit("_bits", (F.col("_mine") % 64).cast("int")) == 1)
+    return placed.join(F.broadcast(bits), hit, "left_semi").drop("_mine")
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.money import cents
+from tallymark.operators.joins import keep_keys
 from tallymark.sources.tables import table
 
 # The film ratings in the order of increasing age.
@@ -78,32 +79,47 @@ def orders_between(spark: SparkSession, sf: str, first: str, after: str) -> Data
     )
 
 
-def order_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales per order, in cents.
+def order_totals(spark: SparkSession, sf: str, orders: DataFrame | None = None) -> DataFrame:
+    """Sales per order, in cents; with ``orders`` little more than theirs.
 
     Added up before any join: partial sums shrink a hot order on the map side, and the
     following join on the order id reuses this partitioning.
     """
+    lines = table(spark, sf, "lineitem")
+    if orders is not None:
+        lines = keep_keys(lines.select("l_orderkey", "l_extendedprice"), "l_orderkey", orders, "order_id")
     return (
-        table(spark, sf, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"))
+        lines.groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(F.sum(cents("l_extendedprice")).alias("sold_cents"))
     )
 
 
 def order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFrame:
     """Order-level sales facts: cust_id, channel_desc, time_id, sold_cents."""
-    return orders_between(spark, sf, first, after).join(order_totals(spark, sf), "order_id")
+    orders = orders_between(spark, sf, first, after)
+    wanted = None if (first, after) == ALL_TIME else orders
+    return orders.join(order_totals(spark, sf, wanted), "order_id")
+
 
+def product_sales(spark: SparkSession, sf: str, first: str, after: str, prods: DataFrame | None = None,
+                  customers: DataFrame | None = None) -> DataFrame:
+    """Sale lines with product id: cust_id, channel_desc, time_id, prod_id, sold_cents.
 
-def product_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFrame:
-    """Sale lines with product id: cust_id, channel_desc, time_id, prod_id, sold_cents."""
+    ``prods(prod_id)`` and ``customers(cust_id)`` restrict the lines and the orders before they meet.
+    """
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("prod_id"),
         cents("l_extendedprice").alias("sold_cents"),
     )
-    return lines.join(orders_between(spark, sf, first, after), "order_id")
+    orders = orders_between(spark, sf, first, after)
+    if customers is not None:
+        orders = orders.join(customers, "cust_id", "left_semi")
+    if prods is not None:
+        lines = keep_keys(lines, "prod_id", prods, "prod_id")
+    if (first, after) != ALL_TIME or customers is not None:
+        lines = keep_keys(lines, "order_id", orders, "order_id")
+    return lines.join(orders, "order_id")
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:

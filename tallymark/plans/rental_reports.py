@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallymark.functions.money import cents, money
-from tallymark.operators.joins import settled
+from tallymark.operators.joins import keep_keys, settled
 from tallymark.operators.topk import top_distinct_values
 from tallymark.plans.mapping import FILM_SQL, actors, film_actors, films
 from tallymark.plans.registry import query
@@ -364,46 +364,44 @@ def most_popular(rentals: DataFrame, film: DataFrame, countries: Sequence[str] |
         "country", "film_id", F.col("title").alias("film"), "rating", "release_year", "_score")
 
 
-def country_rentals(spark: SparkSession, sf: str) -> DataFrame:
+def country_rentals(spark: SparkSession, sf: str, countries: Sequence[str]) -> DataFrame:
+    """Rentals in the countries; orders are restricted before the lines meet them."""
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_partkey").alias("film_id"), cents("l_extendedprice").alias("_cents"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country")).filter(
+        F.col("country").isin(list(countries)))
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country")
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
-        .select("country", "film_id", "_cents")
-    )
-
-
+    wanted = orders.join(customer, orders.o_custkey == customer.c_custkey).select("o_orderkey", "country")
+    lines = keep_keys(lines, "l_orderkey", wanted, "o_orderkey")
+    return lines.join(wanted, lines.l_orderkey == wanted.o_orderkey).select("country", "film_id", "_cents")
 
 
 def r18_sql(score: str, shown: str) -> str:
     return f"""
 WITH film AS ({FILM_SQL}),
-rating_list AS (
+country_scores AS (
   SELECT n_name AS country, l_partkey AS film_id, {score} AS score
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
   JOIN nation ON n_nationkey = c_nationkey
   WHERE n_name IN ('NATION_2', 'NATION_7', 'NATION_19')
   GROUP BY n_name, l_partkey)
 SELECT country, film_id, title AS film, rating, release_year, {shown}
-FROM rating_list r JOIN film USING (film_id)
-WHERE score = (SELECT max(x.score) FROM rating_list x WHERE x.country = r.country)"""
+FROM country_scores r JOIN film USING (film_id)
+WHERE score = (SELECT max(x.score) FROM country_scores x WHERE x.country = r.country)"""
 
 R18_COUNTRIES = ["NATION_2", "NATION_7", "NATION_19"]
 
 
 @query("r18_most_popular_by_group", r18_sql("count(*)", "score AS rentals"))
 def r18(spark: SparkSession, sf: str) -> DataFrame:
-    best = most_popular(country_rentals(spark, sf), films(spark, sf), R18_COUNTRIES)
+    best = most_popular(country_rentals(spark, sf, R18_COUNTRIES), films(spark, sf), R18_COUNTRIES)
     return best.withColumnRenamed("_score", "rentals")
 
 
 @query("r18b_most_popular_by_revenue", r18_sql(
     "sum(CAST(l_extendedprice AS DECIMAL(12,2)))", "CAST(score AS DECIMAL(28,2)) AS revenue"))
 def r18b(spark: SparkSession, sf: str) -> DataFrame:
-    best = most_popular(country_rentals(spark, sf), films(spark, sf), R18_COUNTRIES, F.sum("_cents"))
+    best = most_popular(country_rentals(spark, sf, R18_COUNTRIES), films(spark, sf), R18_COUNTRIES, F.sum("_cents"))
     return best.withColumn("revenue", money("_score")).drop("_score")

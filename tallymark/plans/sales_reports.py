@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import money, percent_text, share
-from tallymark.operators.joins import settled
+from tallymark.operators.joins import null_safe_join, settled
 from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
@@ -76,9 +76,8 @@ def quarter_report_base(spark: SparkSession, sf: str) -> DataFrame:
     in_region = customer_regions(spark, sf).filter(F.col("country_region") == "ASIA").select("cust_id")
     in_category = products(spark, sf).filter(F.col("prod_category") == "PROMO")
     return (
-        product_sales(spark, sf, "2000-01-01", "2001-01-01")
+        product_sales(spark, sf, "2000-01-01", "2001-01-01", in_category, in_region)
         .join(in_category.select("prod_id", "prod_name"), "prod_id")
-        .join(in_region, "cust_id", "left_semi")
         .withColumn("quarter", F.quarter("time_id"))
     )
 
@@ -423,8 +422,8 @@ def r15(spark: SparkSession, sf: str) -> DataFrame:
         F.col("total"), "cum_rows")
     # The total of a peer group is the running total of its last row, for GROUPS and RANGE alike.
     peers = rows.groupBy("prod_category", "prod_subcategory").agg(
-        F.max_by("cum_rows", "prod_name").alias("_peers"))
-    return rows.join(peers, ["prod_category", "prod_subcategory"]).select(
+        F.max_by("cum_rows", F.struct(F.col("prod_name").isNotNull(), "prod_name")).alias("_peers"))
+    return null_safe_join(rows, peers, ["prod_category", "prod_subcategory"]).select(
         "prod_category", "prod_subcategory", "prod_name", money("total").alias("total"),
         money("cum_rows").alias("cum_rows"), money("_peers").alias("cum_groups"),
         money("_peers").alias("cum_range"))
@@ -448,7 +447,7 @@ SELECT d_time, CAST(amount_sold AS DECIMAL(28,2)) AS amount_sold,
 FROM r""")
 def r16(spark: SparkSession, sf: str) -> DataFrame:
     large = products(spark, sf).filter(F.col("prod_category") == "LARGE").select("prod_id")
-    sales = product_sales(spark, sf, "1999-01-01", "1999-02-01").join(large, "prod_id", "left_semi")
+    sales = product_sales(spark, sf, "1999-01-01", "1999-02-01", large).join(large, "prod_id", "left_semi")
     days = calendar(spark, "1999-01-01", "1999-01-31").select(F.col("time_id").alias("d_time"))
     return frame_modes_by_date(days, sales)
 
@@ -461,19 +460,24 @@ def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
     peer sums need one row per day. All of it reads the sales once, from the buckets of
     the running total.
     """
-    facts = sales.select(F.col("time_id").alias("d_time"), F.col("sold_cents").alias("amount"),
-                         F.lit(1).alias("_sale"))
-    put_in = days.select("d_time", F.lit(0).cast("bigint").alias("amount"), F.lit(0).alias("_sale"))
-    in_range = facts.join(days, "d_time", "left_semi")
-    rows = running_total(in_range.unionByName(put_in), [], [F.col("d_time"), F.col("amount")],
-                         F.col("amount"), "cum_sum_row")
-    per_day = rows.groupBy("d_time").agg(
-        F.sum("amount").alias("_day"), F.max("_sale").alias("_has_sales"))
+    facts = sales.select(F.col("time_id").alias("d_time"), F.col("sold_cents").alias("amount"))
+    facts = facts.join(days, "d_time", "left_semi").groupBy("d_time", "amount").agg(
+        F.count(F.lit(1)).alias("_n"), F.lit(1).alias("_sale"))
+    put_in = days.select("d_time", F.lit(0).cast("bigint").alias("amount"), F.lit(1).cast("bigint").alias("_n"),
+                         F.lit(0).alias("_sale"))
+    # Equal amounts of a day are one row with their number until the sums are done.
+    sums = running_total(facts.unionByName(put_in), [], [F.col("d_time"), F.col("amount"), F.col("_sale")],
+                         F.col("amount") * F.col("_n"), "_to_here")
+    rows = sums.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select(
+        "d_time", "amount", "_sale",
+        (F.col("_to_here") - F.col("amount") * (F.col("_n") - F.col("_i"))).alias("cum_sum_row"))
+    per_day = sums.groupBy("d_time").agg(
+        F.sum(F.col("amount") * F.col("_n")).alias("_day"), F.max("_sale").alias("_has_sales"))
     peers = per_day.selectExpr(
         "d_time AS _d", "_has_sales", "sum(_day) OVER (ORDER BY d_time RANGE UNBOUNDED PRECEDING) AS _group",
         "sum(_day) OVER (ORDER BY d_time RANGE BETWEEN INTERVAL '3' DAY PRECEDING AND CURRENT ROW) AS _range",
     )
-    kept = rows.join(F.broadcast(peers), rows.d_time == peers["_d"]).filter(
+    kept = rows.join(peers, rows.d_time == peers["_d"]).filter(
         F.col("_sale") == F.col("_has_sales"))
     return kept.select(
         "d_time", money("amount").alias("amount_sold"), money("cum_sum_row").alias("cum_sum_row"),
