@@ -19,10 +19,11 @@ def division_report(a: str, b: str) -> Column:
     """
     x, y = F.col(a).try_cast("double"), F.col(b).try_cast("double")
     quotient = F.try_divide(x, y)
-    whole = quotient == F.floor(quotient)
+    whole = quotient % 1 == 0
     return (
         F.when(x.isNull() | y.isNull(), "Entered value is wrong")
         .when(y == 0, "Can't divide by zero")
-        .when(whole, quotient.cast("bigint").cast("string"))
+        # The formats of the two results.
+        .when(whole, F.format_string("%.0f", quotient))
         .otherwise(F.format_string("%.3f", quotient))
     )

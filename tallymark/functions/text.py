@@ -1,11 +1,9 @@
-"""Text expressions. All stay in the JVM except ``title_case``."""
+"""Text expressions. All stay in the JVM."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # What separates words. Letters, digits and underscore of any script make
 # up a word; Java's own \W knows ASCII only.
@@ -54,7 +52,9 @@ def combinations(lists: Column) -> Column:
             F.transform(done, lambda start: F.transform(items, lambda item: F.concat(start, item)))))
 
 
-@F.pandas_udf(StringType())
-def title_case(text: pd.Series) -> pd.Series:
+def title_case(text: str | Column) -> Column:
     """Upper case after every non-letter; ``initcap`` only does so after white space."""
-    return text.str.title()
+    column = F.col(text) if isinstance(text, str) else text
+    runs = F.regexp_extract_all(column, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda r: F.concat(
+        F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2))))), "")

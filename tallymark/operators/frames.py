@@ -5,28 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallymark.operators.joins import null_safe_join
 from tallymark.operators.ordered import exact_quantiles, global_row_number
 
-FEW_ROWS = 100_000
-
-
 def row_slice(df: DataFrame, order: Sequence[Column], start: int = 0, stop: int | None = None,
               step: int = 1) -> DataFrame:
     """0-based rows start, start+step, ... below ``stop`` of the ordered rows.
 
-    A short slice near the front needs only the first ``stop`` rows (TakeOrdered); any
-    other one numbers all rows, range-partitioned.
+    Rows after ``stop`` are cut off first; what is left is numbered range-partitioned.
     """
-    if stop is not None and stop <= FEW_ROWS:
-        front = df.orderBy(*order).limit(stop)
-        numbered = front.withColumn("row_num", F.row_number().over(W.orderBy(*order)).cast("bigint"))
-    else:
-        numbered = global_row_number(df, order)
-        if stop is not None:
-            numbered = numbered.filter(F.col("row_num") <= stop)
+    numbered = global_row_number(df if stop is None else df.orderBy(*order).limit(stop), order)
     place = F.col("row_num") - 1
     return numbered.filter((place >= start) & ((place - start) % step == 0)).withColumn(
         "row_num", place)
@@ -52,7 +42,7 @@ def describe(df: DataFrame, keys: Sequence[str], value: str,
         F.round(F.stddev_samp(value), 4).alias("std"), F.min(value).alias("min"),
         F.max(value).alias("max"))
     points = exact_quantiles(base, only, value, quantiles)
-    return stats.join(points, only).select(
+    return null_safe_join(stats, points, only, "left").select(
         *keys, "count", "mean", "std", "min", *quantiles, "max")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallymark.operators.joins import null_safe_join
 from tallymark.session import scratch_path
 
 ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in 33 bits
@@ -101,12 +102,13 @@ def running_total_of_peers(
 def rank_in_group(
     df: DataFrame, keys: Sequence[str], value: str, name: str = "rnk", descending: bool = True
 ) -> DataFrame:
-    """``rank()`` for groups of any size: rows of better value, plus one."""
+    """``rank()`` for groups of any size: rows of better value, plus one; NULL values come last
+    in descending order and first in ascending, NULL keys are a group."""
     by = F.col(value).desc() if descending else F.col(value).asc()
     sizes = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_total(sizes, keys, [by], F.col("_n"), "_hi")
     ranks = ranks.select(*keys, value, (F.col("_hi") - F.col("_n") + 1).alias(name))
-    return df.join(ranks, [*keys, value])
+    return null_safe_join(df, ranks, [*keys, value])
 
 
 def exact_quantiles(
@@ -136,7 +138,7 @@ def exact_quantiles(
     holds_one = reduce(
         lambda a, b: a | b, [(F.col("_before") <= at) & (at < F.col("_end")) for at in places])
     # Only buckets that hold a wanted place are looked into.
-    looked_at = placed.join(spans.filter(holds_one).drop("_end"), [*keys, "_bucket"])
+    looked_at = null_safe_join(placed, spans.filter(holds_one).drop("_end"), [*keys, "_bucket"])
     inside = W.partitionBy("_bucket", *keys).orderBy(value).rowsBetween(
         W.unboundedPreceding, W.currentRow)
     values = looked_at.withColumn("_hi", F.col("_before") + F.sum("_n").over(inside))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.folds import apply_step, clamped_steps
+from tallymark.operators.joins import null_safe_join
 
 # The actions, their points, and the mark needed to pass.
 POINTS = {"visit_lecture": 1, "do_homework": 2, "miss_lecture": -1, "miss_homework": -2}
@@ -33,7 +34,7 @@ def score_changes(actions: DataFrame) -> DataFrame:
     sums = marked.groupBy("trainee").agg(*[
         F.sum(F.when(F.col("action") == action, F.col("_points")).otherwise(0)).alias(counter)
         for action, counter in COUNTERS.items()])
-    return steps.join(sums, "trainee")
+    return null_safe_join(steps, sums, ["trainee"])
 
 
 def with_verdict(scores: DataFrame) -> DataFrame:

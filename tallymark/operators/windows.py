@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallymark.operators.joins import null_safe_join
+
 
 def with_group_ordinal(df: DataFrame, keys: Sequence[str], order: Column,
                        name: str = "_group") -> DataFrame:
@@ -37,7 +39,7 @@ def with_group_total(df: DataFrame, keys: Sequence[str], value: Column, name: st
     window would bring the whole group into one task.
     """
     totals = df.groupBy(*keys).agg(F.sum(value).alias(name))
-    return df.join(totals, [*keys])
+    return null_safe_join(df, totals, keys)
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], when: str) -> DataFrame:

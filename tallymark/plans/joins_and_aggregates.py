@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import cents, money, share, sum_money
 from tallymark.operators.frames import describe
-from tallymark.operators.joins import bounded, densify, earliest_pair_with_sum
+from tallymark.operators.joins import densify, earliest_pair_with_sum
 from tallymark.operators.lists import comma_lists, common_prefix, list_chunks
 from tallymark.plans.registry import query
 from tallymark.sources.tables import table
@@ -72,9 +72,9 @@ LEFT JOIN (SELECT n_regionkey, p_type AS t, count(DISTINCT l_suppkey) AS n
            FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
            JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2) ON n_regionkey = r_regionkey AND t = p_type""")
 def c04(spark: SparkSession, sf: str) -> DataFrame:
-    """All pairs of two short lists whose lengths are checked, filled with counts."""
-    regions = bounded(table(spark, sf, "region"), 1000, "the region list")
-    types = bounded(table(spark, sf, "part").select("p_type").distinct(), 1000, "the type list")
+    """All pairs of two lists, filled with counts. The pairs are the result: Spark chooses how to form them."""
+    regions = table(spark, sf, "region")
+    types = table(spark, sf, "part").select("p_type").distinct()
     pairs = (
         table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
         .join(table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("t")),
@@ -84,7 +84,7 @@ def c04(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("n_regionkey", "t").agg(F.count(F.lit(1)).alias("_n"))
     )
-    frame = regions.crossJoin(F.broadcast(types))
+    frame = types.crossJoin(regions)
     return frame.join(pairs, (F.col("n_regionkey") == F.col("r_regionkey"))
                       & (F.col("t") == F.col("p_type")), "left").select(
         "r_name", "p_type", F.coalesce("_n", F.lit(0)).alias("suppliers_with_type"))
@@ -94,14 +94,14 @@ def c04(spark: SparkSession, sf: str) -> DataFrame:
 SELECT c_custkey, c_name FROM customer WHERE EXISTS (
   SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)""")
 def c05(spark: SparkSession, sf: str) -> DataFrame:
-    large = table(spark, sf, "orders").filter(F.col("o_totalprice") > 450000).select("o_custkey")
+    large = table(spark, sf, "orders").filter(F.col("o_totalprice") > 450000).select("o_custkey").distinct()
     customer = table(spark, sf, "customer").select("c_custkey", "c_name")
     return customer.join(large, customer.c_custkey == large.o_custkey, "left_semi")
 
 
 @query("c06_anti", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def c06(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey")
+    lines = table(spark, sf, "lineitem").select("l_orderkey").distinct()
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left_anti")
 
@@ -109,9 +109,11 @@ def c06(spark: SparkSession, sf: str) -> DataFrame:
 @query("c07_join_literal_key", """
 SELECT p_partkey, p_name, n_nationkey AS origin FROM part JOIN nation ON n_name = 'NATION_7'""")
 def c07(spark: SparkSession, sf: str) -> DataFrame:
-    """A lookup id fetched by a constant name (a unique key) is a scalar."""
-    origin = table(spark, sf, "nation").filter(F.col("n_name") == "NATION_7").select("n_nationkey")
-    return table(spark, sf, "part").select("p_partkey", "p_name", origin.scalar().alias("origin"))
+    """A lookup id fetched by a constant name; without such a name there are no rows."""
+    origin = table(spark, sf, "nation").filter(F.col("n_name") == "NATION_7").select(
+        F.col("n_nationkey").alias("origin"), F.lit(1).alias("_one"))
+    part = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(1).alias("_one"))
+    return part.join(origin, "_one").drop("_one")
 
 
 @query("c08_implicit_comma_join", """
@@ -458,10 +460,10 @@ SELECT event_type,
 FROM events GROUP BY 1""")
 def d19(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers and numeric strings; a bad string fails the sum unless it is asked to be skipped."""
-    strict = F.col("value") + F.get_json_object("props", "$.k").cast("double")
+    strict = F.col("value").cast("decimal(18,6)") + F.get_json_object("props", "$.k").cast("decimal(18,6)")
     mixed = F.when(F.col("user_id") % 2 == 0, F.col("props")).otherwise(F.col("user_id").cast("string"))
     return table(spark, sf, "events").groupBy("event_type").agg(
-        sum_money(strict).alias("total"), F.sum(mixed.try_cast("bigint")).alias("lenient"))
+        F.sum(strict).cast("decimal(28,2)").alias("total"), F.sum(mixed.try_cast("bigint")).alias("lenient"))
 
 
 @query("d21_common_prefix", """

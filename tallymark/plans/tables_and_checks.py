@@ -182,18 +182,18 @@ batch AS (
 checked AS (
   SELECT batch_id, CASE WHEN person <> 'nobody' THEN visit_id END AS visit_id,
          amount, method, ref,
-         CASE WHEN person = 'nobody' THEN 'person does not exist'
-              WHEN title = '4-NOT SPECIFIED' THEN 'exhibition does not exist'
-              WHEN visit_id IS NULL THEN 'visit not found'
-              WHEN l_orderkey IS NOT NULL THEN 'payment for visit already exists'
-              WHEN amount < 0 THEN 'amount must be non-negative'
-              WHEN method = '' THEN 'method must be provided' END AS error
+         CASE WHEN person = 'nobody' THEN 'nobody has this name'
+              WHEN title = '4-NOT SPECIFIED' THEN 'no such exhibition'
+              WHEN visit_id IS NULL THEN 'no visit on this day'
+              WHEN l_orderkey IS NOT NULL THEN 'visit is paid'
+              WHEN amount < 0 THEN 'amount is missing or negative'
+              WHEN method = '' THEN 'no method given' END AS error
   FROM batch b LEFT JOIN visits v ON v.o_custkey = b.o_custkey AND v.o_orderpriority = title AND v.day = b.day
                LEFT JOIN paid ON l_orderkey = visit_id),
 firsts AS (SELECT visit_id AS v, min(batch_id) AS first FROM checked WHERE error IS NULL GROUP BY 1)
 SELECT batch_id, visit_id, amount, method, 'paid' AS status, TIMESTAMP '2025-01-01' AS paid_at,
        CASE WHEN visit_id IS NOT NULL THEN coalesce(ref, 'TX-' || visit_id) END AS ref,
-       CASE WHEN error IS NULL AND batch_id <> first THEN 'payment for visit already exists' ELSE error END AS error
+       CASE WHEN error IS NULL AND batch_id <> first THEN 'visit is paid' ELSE error END AS error
 FROM checked LEFT JOIN firsts ON v = visit_id""")
 def j12(spark: SparkSession, sf: str) -> DataFrame:
     """Every order as a payment request; some name nobody, a wrong day, no method, too little."""

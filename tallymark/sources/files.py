@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MULTILINE_CSV = {"header": True, "escape": '"', "multiLine": False}
+MULTILINE_CSV = {"header": True, "escape": '"', "multiLine": True, "mode": "FAILFAST"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -72,5 +72,7 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """A single string column as text lines."""
-    lines.write.text(path)
+    """A single string column as text lines; a value with a line break in it is refused."""
+    column = F.col(lines.columns[0])
+    broken = F.raise_error(F.lit("a line must not hold a line break"))
+    lines.select(F.when(column.rlike("[\\r\\n]"), broken).otherwise(column).alias("value")).write.text(path)

@@ -13,16 +13,3 @@ TABLES = (
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
-
-SPLIT_BYTES = 128 * 1024 * 1024  # what Spark puts into one input partition by default
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, for work that costs far more than reading them (tokenising).
-
-    A table of fewer splits than a quarter of the cores, such as a single file of one row
-    group, is shuffled by its unique key; a larger one is split well enough as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < SPLIT_BYTES * cores / 4 else df

@@ -12,26 +12,19 @@ from tallymark.operators.maintenance import insert_on_conflict_do_nothing
 
 
 def stream_insert_if_absent(rows: DataFrame, path: str, checkpoint: str, key: Sequence[str],
-                            order: Sequence[str], day: str) -> StreamingQuery:
-    """Append rows whose key the table below ``path`` does not have yet.
+                            order: Sequence[str]) -> StreamingQuery:
+    """Append rows whose key the table below ``path`` does not have yet, whatever else differs.
 
     Every micro-batch writes its own ``batch=N`` folder, replaced if the batch is run
-    again, and compares with the folders of other batches only. A key belongs to one day,
-    so the table is read for the days between the first and the last of the batch.
+    again, and compares with the folders of other batches only. Of these it reads the key.
     """
     schema = rows.schema
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()  # read for its days and for its rows
-        # Scalars of the plan, not values of the driver: a time of day without zone would
-        # come back from Python as one with the session's zone.
-        first, last = batch.agg(F.min(day)).scalar(), batch.agg(F.max(day)).scalar()
-        existing = read_appended(spark, path, schema, before=batch_id).filter(
-            F.col(day).between(first, last))
+        existing = read_appended(spark, path, schema, before=batch_id)
         fresh = insert_on_conflict_do_nothing(existing, batch, key, order)
         fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
