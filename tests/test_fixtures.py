@@ -11,9 +11,12 @@ from tallymark.operators import maintenance as m
 from tallymark.operators import quality as q
 from tallymark.operators import textindex
 from tallymark.operators.frames import describe, exact_mean, fill_with, row_extreme_flags
-from tallymark.operators.joins import bounded, densify
+from tallymark.operators.joins import densify, keep_keys
+from tallymark.operators.maintenance import deleted_where, update_from, updated_rows
+from tallymark.operators.ordered import rank_in_group
+from tallymark.operators.scores import trainee_scores
 from tallymark.operators.topk import top_distinct_values, top_rank
-from tallymark.operators.windows import groups_frame, latest_per_group
+from tallymark.operators.windows import groups_frame, latest_per_group, with_group_total
 from tallymark.plans import account_reports, rental_reports, sales_reports
 from tallymark.sources import files
 
@@ -180,15 +183,17 @@ def test_stock(spark):
 
 
 def test_titles_by_pattern(spark):
-    film = spark.createDataFrame([(1, "Love Me"), (2, "glove"), (3, "Hate")], "film_id int, title string")
+    film = spark.createDataFrame([(1, "Love Me", "en"), (2, "glove", "fr"), (3, "Hate", "en")],
+                                 "film_id int, title string, language string")
     rentals = spark.createDataFrame(
-        [(1, 1, ts("2017-01-01")), (1, 2, ts("2017-01-02")), (2, 1, ts("2017-01-01")), (2, 2, ts("2017-01-01"))],
-        "film_id int, cust_id int, rental_date timestamp_ntz")
+        [(1, 7, 1, ts("2017-01-01")), (1, 7, 2, ts("2017-01-02")), (1, 8, 1, ts("2016-01-01")),
+         (2, 7, 1, ts("2017-01-01")), (2, 7, 2, ts("2017-01-01"))],
+        "film_id int, copy_id int, cust_id int, rental_date timestamp_ntz")
     names = spark.createDataFrame([(1, "Ann"), (2, "Bo")], "cust_id int, customer_name string")
     out = account_reports.latest_rentals_by_title(film, rentals, names, "%LOVE%")
-    assert rows(out, "row_num", "film_title", "customer_name", "rental_date") == [
-        (1, "Love Me", "Bo", "2017-01-02 00:00:00"), (2, "glove", "Ann", "2017-01-01 00:00:00"),
-        (3, "glove", "Bo", "2017-01-01 00:00:00")]
+    assert rows(out, "row_num", "film_title", "language", "copy_id", "customer_name", "rental_date") == [
+        (1, "Love Me", "en", 7, "Bo", "2017-01-02 00:00:00"), (2, "Love Me", "en", 8, "Ann", "2016-01-01 00:00:00"),
+        (3, "glove", "fr", 7, "Ann", "2017-01-01 00:00:00"), (4, "glove", "fr", 7, "Bo", "2017-01-01 00:00:00")]
     for bad in (None, "", "  "):
         with pytest.raises(ValueError):
             account_reports.latest_rentals_by_title(film, rentals, names, bad)
@@ -224,10 +229,59 @@ def test_extremes(spark):
     assert rows(row_extreme_flags(df, "v")) == [(1, False, True), (5, True, False), (5, True, False)]
 
 
-def test_bounded(spark):
-    assert bounded(spark.range(5), 5, "x").count() == 5
-    with pytest.raises(ValueError):
-        bounded(spark.range(6), 5, "x")
+def test_null_keys_and_values_are_kept(spark):
+    df = spark.createDataFrame([("a", 3), ("a", None), ("a", 3), (None, 1), (None, None), ("c", None)], "k string, v int")
+    ranked = {(r.k, r.v, r.rnk) for r in rank_in_group(df, ["k"], "v").collect()}
+    assert ranked == {("a", 3, 1), ("a", None, 3), (None, 1, 1), (None, None, 2), ("c", None, 1)}
+    assert rank_in_group(df, ["k"], "v").count() == 6
+    totals = sorted(((r.k or "-", r.t) for r in with_group_total(df, ["k"], F.col("v"), "t").collect()), key=str)
+    assert totals == sorted([("a", 6)] * 3 + [("-", 1)] * 2 + [("c", None)], key=str)
+    groups = {r.k: r for r in describe(df, ["k"], "v", {"q": 0.5}).collect()}
+    assert set(groups) == {"a", "c", None} and groups[None].q == 1.0
+    assert groups["c"]["count"] == 0 and groups["c"].q is None
+    only = describe(df.where("k = 'c'"), [], "v", {"q": 0.5}).collect()
+    assert [(r["count"], r.q) for r in only] == [(0, None)]
+
+
+def test_trainee_without_a_name_has_a_mark(spark):
+    df = spark.createDataFrame([(None, ts("2020-01-01"), 1, "visit_lecture"), (1, ts("2020-01-01"), 2, "do_homework")],
+                               "trainee long, at timestamp_ntz, seq long, action string")
+    assert {(r.trainee, r.mark) for r in trainee_scores(df).collect()} == {(None, 1), (1, 2)}
+
+
+def test_kept_keys_are_all_there(spark):
+    lines = spark.range(20_000).selectExpr("nullif(id % 5000, 17) AS k", "id")
+    keys = spark.range(0, 5000, 7).selectExpr("id AS key").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    kept = keep_keys(lines, "k", keys, "key")
+    wanted = {i for i in range(20_000) if i % 5000 % 7 == 0 and i % 5000 != 17}
+    got = {r.id for r in kept.collect()}
+    assert wanted <= got and len(got) < 1.01 * len(wanted)
+    assert keep_keys(lines, "k", keys.limit(0), "key").count() == 0
+
+
+def test_equal_amounts_of_a_day_are_summed_one_by_one(spark):
+    days = spark.sql("SELECT DATE'2020-01-01' AS d_time UNION ALL SELECT DATE'2020-01-02'")
+    sales = spark.createDataFrame([(dt.date(2020, 1, 1), 5)] * 3 + [(dt.date(2020, 1, 1), 2), (dt.date(2020, 1, 9), 1)],
+                                  "time_id date, sold_cents long")
+    got = [tuple(map(float, r[1:4])) for r in sales_reports.frame_modes_by_date(days, sales).orderBy("d_time", "cum_sum_row").collect()]
+    assert got == [(0.02, 0.02, 0.17), (0.05, 0.07, 0.17), (0.05, 0.12, 0.17), (0.05, 0.17, 0.17), (0.0, 0.17, 0.17)]
+
+
+def test_one_change_per_key(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, v string")
+    assert sorted(map(tuple, update_from(target, changes, ["k"], ["v"]).collect())) == [(1, "y"), (2, "b")]
+    assert list(map(tuple, updated_rows(target, changes, ["k"], ["v"]).collect())) == [(1, "y")]
+    assert list(map(tuple, deleted_where(target, F.col("k") == 1).collect())) == [(1, "a")]
+
+
+def test_lines_with_breaks_survive_or_fail(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb", 1), ('say "x", y', 2), ("plain", 3)], "t string, n int")
+    files.write_csv(df, str(tmp_path / "csv"))
+    back = files.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    with pytest.raises(Exception, match="line break"):
+        files.write_lines(df.select("t"), str(tmp_path / "lines"))
 
 
 # --- table maintenance --------------------------------------------------------------------
@@ -280,15 +334,16 @@ def test_update_cell(spark):
 
 def test_films_and_their_languages(spark):
     languages = spark.createDataFrame([(1, "English")], "language_id long, name string")
-    films = spark.createDataFrame([(10, "Kyiv", 2025)], "film_id long, title string, release_year int")
+    films = spark.createDataFrame([(10, "Harbour", 2025)], "film_id long, title string, release_year int")
     batch = spark.createDataFrame(
-        [(1, "Love in Space", 2025, "Klingon"), (2, "Kyiv", 2025, "english"), (3, "Kyiv", 2022, "ENGLISH"),
-         (4, "Lviv", 2020, "klingon"), (5, "Lviv", 2020, "Ukrainian")],
+        [(1, "Tides", 2025, "Frisian"), (2, "Harbour", 2025, "english"), (3, "Harbour", 2022, "ENGLISH"),
+         (4, "Dunes", 2020, "frisian"), (5, "Dunes", 2020, "Danish"), (6, None, 2020, "Welsh"), (7, " ", 2020, "Welsh"),
+         (8, "Salt", None, None)],
         "batch_id int, title string, release_year int, language string")
-    new_languages, new_films = m.create_films(batch, films, languages)
-    assert rows(new_languages) == [(2, "Klingon"), (3, "Ukrainian")]
+    new_languages, new_films = m.create_films(batch, films, languages, F.lit(2030))
+    assert rows(new_languages) == [(2, "Frisian"), (3, "Danish"), (4, "Klingon")]
     assert rows(new_films, "film_id", "title", "release_year", "language_id") == [
-        (11, "Love in Space", 2025, 2), (12, "Kyiv", 2022, 1), (13, "Lviv", 2020, 2)]
+        (11, "Tides", 2025, 2), (12, "Harbour", 2022, 1), (13, "Dunes", 2020, 2), (14, "Salt", 2030, 4)]
 
 
 def test_payments_are_checked(spark):
@@ -308,10 +363,10 @@ def test_payments_are_checked(spark):
     out = {r.batch_id: r for r in m.add_transactions(
         batch, people, shows, visits, paid, F.lit("2026-01-01").cast("timestamp_ntz")).collect()}
     assert [out[i].error for i in range(12)] == [
-        None, "payment for visit already exists", "person must be provided", "person does not exist",
-        "exhibition does not exist", "visit datetime must be provided", "visit not found",
-        "payment for visit already exists", "amount must be non-negative", "method must be provided",
-        "status must be provided", None]
+        None, "visit is paid", "no name given", "nobody has this name",
+        "no such exhibition", "no time of visit given", "no visit on this day",
+        "visit is paid", "amount is missing or negative", "no method given",
+        "no status given", None]
     assert out[0].ref == "TX-9" and out[11].ref == "R1" and out[0].paid_at == ts("2026-01-01")
 
 

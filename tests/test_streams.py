@@ -54,11 +54,12 @@ def zone(spark, request):
 def test_append_ignores_what_is_there(spark, tmp_path, zone):
     inbox, table, progress = (str(tmp_path / p) for p in ("inbox", "table", "progress"))
     day = dt.datetime(2024, 1, 1)
-    deliveries = [[(1, day, 10), (2, day, 20), (2, day, 21)], [(2, day, 22), (3, day, 30)], [(1, day, 10), (3, day, 31)]]
+    deliveries = [[(1, day, 10), (2, day, 20), (2, day, 21)], [(2, day, 22), (3, day, 30)], [(1, day, 10), (3, day, 31)],
+                  [(1, None, 11), (2, day + dt.timedelta(days=9), 23)]]
     for k, rows in enumerate(deliveries):
         spark.createDataFrame(rows, EVENTS).coalesce(1).write.parquet(f"{inbox}/{k}")
         stream = spark.readStream.schema(EVENTS).parquet(f"{inbox}/*")
-        stream_insert_if_absent(stream, table, progress, ["event_id"], ["ts", "value"], "ts").awaitTermination()
+        stream_insert_if_absent(stream, table, progress, ["event_id"], ["ts", "value"]).awaitTermination()
     schema = spark.createDataFrame([], EVENTS).schema
     out = read_appended(spark, table, schema).select("event_id", "value").collect()
     assert sorted(map(tuple, out)) == [(1, 10), (2, 20), (3, 30)]
@@ -71,7 +72,7 @@ def test_append_replays_from_a_lost_checkpoint(spark, tmp_path):
     for progress in ("p1", "p2"):
         stream = spark.readStream.schema(EVENTS).parquet(f"{inbox}/*")
         stream_insert_if_absent(
-            stream, table, str(tmp_path / progress), ["event_id"], ["ts"], "ts").awaitTermination()
+            stream, table, str(tmp_path / progress), ["event_id"], ["ts"]).awaitTermination()
     schema = spark.createDataFrame([], EVENTS).schema
     assert read_appended(spark, table, schema).count() == 2
 
