@@ -43,7 +43,7 @@ def seconds(run) -> float:
 
 def maintenance_jobs(spark, rows: int) -> dict[str, float]:
     """The reference's published figures are for these jobs at 10^7 rows."""
-    full, kept, empty = (scratch_path(spark, f"bench-{n}") for n in ("full", "kept", "empty"))
+    full, kept, none, empty = (scratch_path(spark, f"bench-{n}") for n in ("full", "kept", "none", "empty"))
     prefix = "veeeeeeery_long_string"
     texts = series(spark, 1, rows).select(F.concat(F.lit(prefix), F.col("x").cast("string")).alias("col"))
     number = F.replace("col", F.lit(prefix), F.lit("")).cast("bigint")
@@ -51,6 +51,8 @@ def maintenance_jobs(spark, rows: int) -> dict[str, float]:
         "ctas_generated_strings": seconds(lambda: write_table(texts, full)),
         "delete_one_third": seconds(
             lambda: write_table(delete_where(read_table(spark, full), number % 3 == 0), kept)),
+        "delete_all_rows": seconds(
+            lambda: write_table(delete_where(read_table(spark, full), number > 0), none)),
         "truncate": seconds(lambda: write_table(read_table(spark, full).limit(0), empty)),
     }
 

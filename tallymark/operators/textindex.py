@@ -59,9 +59,9 @@ def query_index(index: DataFrame, asked: DataFrame) -> DataFrame:
     """(query_id, doc_id) for the documents with all words of each query.
 
     ``asked(query_id, word)``, no pair twice. A query with a word the index does not know
-    has no rows. The rarest word of a query yields its candidates; the other words are
-    then looked up as (word, doc_id) pairs, so no long posting list is copied per query
-    and a word's hits are spread over the documents.
+    has no rows. The rarest word of a query yields its candidates, block by block; each other
+    word's list of the same block is intersected with them where it lies, so no posting list
+    is taken apart, and blocks without candidates are not joined.
     """
     vocabulary = asked.select("word").distinct()
     relevant = index.join(vocabulary, "word", "left_semi")
@@ -72,13 +72,13 @@ def query_index(index: DataFrame, asked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_words"), F.count("n_docs").alias("n_known"),
     ).filter(F.col("n_words") == F.col("n_known")).drop("n_known")
     candidates = plans.join(relevant, plans.rarest == relevant.word).select(
-        "query_id", "n_words", "rarest", F.explode("doc_ids").alias("doc_id"))
-    single = candidates.filter(F.col("n_words") == 1).select("query_id", "doc_id")
+        "query_id", "n_words", "rarest", "block", F.col("doc_ids").alias("wanted"))
+    single = candidates.filter(F.col("n_words") == 1).select("query_id", F.explode("wanted").alias("doc_id"))
     probes = candidates.filter(F.col("n_words") > 1).join(asked, "query_id").filter(
-        F.col("word") != F.col("rarest")).select("query_id", "n_words", "doc_id", "word")
-    pairs = relevant.select("word", F.explode("doc_ids").alias("doc_id"))
+        F.col("word") != F.col("rarest")).select("query_id", "n_words", "block", "wanted", "word")
     several = (
-        probes.join(pairs, ["word", "doc_id"])
+        probes.join(relevant, ["word", "block"])
+        .select("query_id", "n_words", F.explode(F.array_intersect("wanted", "doc_ids")).alias("doc_id"))
         .groupBy("query_id", "doc_id", "n_words").agg(F.count(F.lit(1)).alias("_hits"))
         .filter(F.col("_hits") == F.col("n_words") - 1).select("query_id", "doc_id")
     )
