@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.operators.folds import apply_step
+from tallymark.operators.joins import null_safe_join
 from tallymark.operators.scores import COUNTERS, LOWEST, score_changes, with_verdict
-from tallymark.streaming.versions import latest_version, read_version, write_version
+from tallymark.streaming.versions import is_full, latest_version, read_state, write_version
 
 STATE = "trainee long, mark long, " + ", ".join(f"{c} long" for c in COUNTERS.values())
 
 
 def merge_scores(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Old marks with one batch of changes on top; both sides have one row per trainee."""
+    """The marks of the trainees in ``changes`` on top of their old ones; a row per trainee on both sides."""
     old = state.select("trainee", F.col("mark").alias("_mark"),
                        *[F.col(c).alias(f"_{c}") for c in COUNTERS.values()])
-    joined = old.join(changes, "trainee", "full")
+    joined = null_safe_join(changes, old, ["trainee"], "left")
     start = F.coalesce("_mark", F.lit(LOWEST).cast("bigint"))
-    mark = F.when(F.col("a").isNull(), start).otherwise(apply_step(start))
+    mark = apply_step(start)
     zero = F.lit(0).cast("bigint")
     return joined.select("trainee", mark.alias("mark"), *[
         (F.coalesce(F.col(f"_{c}"), zero) + F.coalesce(F.col(c), zero)).alias(c)
@@ -30,17 +31,22 @@ def stream_scores(actions: DataFrame, path: str, checkpoint: str) -> StreamingQu
     """Keep the marks of all trainees in versions below ``path``, one per micro-batch.
 
     A batch is brought down to one step per trainee by the distributed fold, however many
-    of its rows belong to one of them. The version of a batch is computed from the one
-    before it and written under the batch's number, so a batch that is run again after a
+    of its rows belong to one of them. The version of a batch holds the trainees it has rows
+    of, and now and then all; it is computed from those before it and written under the batch's number, so a batch that is run again after a
     failure replaces its own result. Rows of a batch are taken in the order of (at, seq);
     batches in the order of arrival.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_version(spark, path, STATE, before=batch_id)
+        state = read_state(spark, path, STATE, ["trainee"], before=batch_id)
         batch.persist()  # read for the marks and for the counters
-        write_version(merge_scores(state, score_changes(batch)), path, batch_id)
+        changed = merge_scores(state, score_changes(batch))
+        if is_full(batch_id):
+            rest = state.join(changed.select(F.col("trainee").alias("_changed")),
+                              F.col("trainee").eqNullSafe(F.col("_changed")), "left_anti")
+            changed = changed.unionByName(rest)
+        write_version(changed, path, batch_id)
         batch.unpersist()
 
     return (
@@ -51,4 +57,4 @@ def stream_scores(actions: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 def current_scores(spark: SparkSession, path: str) -> DataFrame:
     newest = latest_version(spark, path)
-    return with_verdict(read_version(spark, path, STATE, before=newest + 1))
+    return with_verdict(read_state(spark, path, STATE, ["trainee"], before=newest + 1))

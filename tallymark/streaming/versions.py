@@ -1,8 +1,17 @@
-"""Versions of a table, one folder per micro-batch; a version is complete once written."""
+"""Versions of a table, one folder per micro-batch; a version is complete once written.
+
+A version holds the rows that its batch changed; every ``FULL_EVERY``-th holds all rows, so that
+a reader needs that one and the few after it. Older ones may be removed at any time.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+FULL_EVERY = 16
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -19,12 +28,27 @@ def latest_version(spark: SparkSession, path: str) -> int:
     return max(_numbers(spark, path), default=-1)
 
 
-def read_version(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
-    """The newest version with a number below ``before``; empty if there is none."""
+def is_full(number: int) -> bool:
+    return number % FULL_EVERY == 0
+
+
+def read_state(spark: SparkSession, path: str, schema: str, key: Sequence[str], before: int) -> DataFrame:
+    """The newest row of every key in the versions below ``before``; empty if there are none."""
     earlier = [n for n in _numbers(spark, path) if n < before]
     if not earlier:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={earlier[-1]}")
+    whole = max((n for n in earlier if is_full(n)), default=earlier[0])
+    needed = [n for n in earlier if n >= whole]
+    read = lambda n: spark.read.schema(schema).parquet(f"{path}/version={n}")
+    if len(needed) == 1:
+        return read(needed[0])
+    rows = None
+    for n in needed:
+        numbered = read(n).withColumn("_version", F.lit(n))
+        rows = numbered if rows is None else rows.unionByName(numbered)
+    columns = [c for c in rows.columns if c != "_version"]
+    newest = F.max_by(F.struct(*columns), "_version").alias("_row")
+    return rows.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(newest).select("_row.*")
 
 
 def write_version(df: DataFrame, path: str, number: int) -> None:

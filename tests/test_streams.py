@@ -18,8 +18,9 @@ def actions(n, start=0):
     return [(0 if i % 3 else i % 5, first + dt.timedelta(minutes=i), i, names[i * 7 % 5]) for i in range(start, start + n)]
 
 
-def test_scores_continue_after_a_restart(spark, tmp_path):
+def test_scores_continue_after_a_restart(spark, tmp_path, monkeypatch):
     inbox, marks, progress = (str(tmp_path / p) for p in ("inbox", "marks", "progress"))
+    monkeypatch.setattr(versions, "FULL_EVERY", 2)
     for k in range(3):
         spark.createDataFrame(actions(60, 60 * k), SCHEMA).coalesce(1).write.parquet(f"{inbox}/{k}")
         stream = spark.readStream.schema(SCHEMA).parquet(f"{inbox}/*")
@@ -31,14 +32,13 @@ def test_scores_continue_after_a_restart(spark, tmp_path):
 
 def test_an_unfinished_version_is_not_read(spark, tmp_path):
     path = str(tmp_path / "v")
-    versions.write_version(spark.createDataFrame([(1,)], "x int"), path, 0)
+    versions.write_version(spark.createDataFrame([(1, 1)], "x int, y int"), path, 0)
     (tmp_path / "v" / "version=1").mkdir()
     assert versions.latest_version(spark, path) == 0
-    versions.write_version(spark.createDataFrame([(2,)], "x int"), path, 1)
-    versions.write_version(spark.createDataFrame([(3,)], "x int"), path, 1)
-    assert versions.read_version(spark, path, "x int", before=2).first().x == 3
-    assert versions.read_version(spark, path, "x int", before=1).first().x == 1
-    assert versions.read_version(spark, path, "x int", before=0).count() == 0
+    versions.write_version(spark.createDataFrame([(2, 1)], "x int, y int"), path, 1)
+    versions.write_version(spark.createDataFrame([(1, 3), (None, 4)], "x int, y int"), path, 1)
+    read = lambda n: {tuple(r) for r in versions.read_state(spark, path, "x int, y int", ["x"], n).collect()}
+    assert read(2) == {(1, 3), (None, 4)} and read(1) == {(1, 1)} and read(0) == set()
 
 
 EVENTS = "event_id long, ts timestamp_ntz, value int"
