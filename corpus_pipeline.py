@@ -24,22 +24,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def same_columns(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """`found` with the columns of `docs`; n_chars counts the text as it is now."""
+    """`found` with the columns of `docs`; a known n_chars counts the text as it is now."""
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with columns of these names renamed, and what gives them their names back."""
+    other = {c: f"__own_{c}" for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(other), lambda df: df.drop(*names).withColumnsRenamed(
+        {new: old for old, new in other.items()})
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labels, does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classify(spark, docs, labels).where("predicted = 1").select(*docs.columns)
+    own, back = set_aside(docs, "held_out", "score", "predicted")
+    return same_columns(back(classify(spark, own, labels).where("predicted = 1")), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the line chunks that stand elsewhere already; documents left empty by that go."""
-    left = line_dedup(docs)
-    return same_columns(left.where("n_removed = 0 or text != ''"), docs)
+    own, back = set_aside(docs, "n_removed")
+    return same_columns(back(line_dedup(own).where("n_removed = 0 or text != ''")), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +58,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return same_columns(copies(mix(docs, keep=docs.columns)), docs)
+    own, back = set_aside(docs, "size", "source_size", "target", "taken")
+    return same_columns(back(copies(mix(own, keep=own.columns))), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
