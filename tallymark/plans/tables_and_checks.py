@@ -52,12 +52,24 @@ SELECT s_suppkey, CASE WHEN l_suppkey IS NOT NULL THEN 'busy' ELSE s_name END AS
        CASE WHEN l_suppkey IS NOT NULL THEN CAST(qty AS DOUBLE) ELSE s_acctbal END AS s_acctbal
 FROM supplier LEFT JOIN w ON l_suppkey = s_suppkey""")
 def j03(spark: SparkSession, sf: str) -> DataFrame:
+    target = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    return m.update_from(target, busy_suppliers(spark, sf), ["s_suppkey"], ["s_name", "s_acctbal"])
+
+
+def busy_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     chosen = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R").groupBy(
         F.col("l_suppkey").alias("s_suppkey")).agg(
         F.sum("l_quantity").alias("s_acctbal"), F.count(F.lit(1)).alias("_n"))
-    changes = chosen.filter(F.col("_n") >= 200).select("s_suppkey", "s_acctbal", F.lit("busy").alias("s_name"))
+    return chosen.filter(F.col("_n") >= 200).select("s_suppkey", "s_acctbal", F.lit("busy").alias("s_name"))
+
+
+@query("j03b_update_returning", """
+SELECT s_suppkey, 'busy' AS s_name, CAST(sum(l_quantity) AS DOUBLE) AS s_acctbal
+FROM supplier JOIN lineitem ON l_suppkey = s_suppkey WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) >= 200""")
+def j03b(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that the update of j03 has set."""
     target = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    return m.update_from(target, changes, ["s_suppkey"], ["s_name", "s_acctbal"])
+    return m.updated_rows(target, busy_suppliers(spark, sf), ["s_suppkey"], ["s_name", "s_acctbal"])
 
 
 @query("j04_delete_where", """
@@ -65,12 +77,24 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN
   SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING')""")
 def j04(spark: SparkSession, sf: str) -> DataFrame:
     """Rows left when the sale lines of some customers are deleted."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return m.delete_matching(lines, building_orders(spark, sf), ["l_orderkey"])
+
+
+def building_orders(spark: SparkSession, sf: str) -> DataFrame:
     buyers = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
     orders = table(spark, sf, "orders")
-    victims = orders.join(buyers, orders.o_custkey == buyers.c_custkey, "left_semi").select(
+    return orders.join(buyers, orders.o_custkey == buyers.c_custkey, "left_semi").select(
         F.col("o_orderkey").alias("l_orderkey"))
+
+
+@query("j04c_delete_returning", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN (
+  SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING')""")
+def j04c(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that the delete of j04 takes away."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return m.delete_matching(lines, victims, ["l_orderkey"])
+    return m.deleted_matching(lines, building_orders(spark, sf), ["l_orderkey"])
 
 
 @query("j04b_delete_by_expression", """
