@@ -9,7 +9,8 @@ equal cells. Cells are joined by value, the pairs are verified on the whole sets
 Equal sets are one class. Classes also have a bit sketch, a parity bit per place, whose Hamming
 distance is a lower bound too. In a bucket of classes with an equal cell, each is paired with one
 centre; the pairs that the bit sketches allow connect most of what is linked. Classes of a bucket
-that are still apart are compared in blocks, and as many pairs are added as connect the rest.
+that are still apart are compared in blocks, and as many pairs are added as connect the rest (first in some
+of the buckets, then in all).
 All these are verified; then every pair of a bucket that the sketches allow, and that the links
 found so far leave apart, is verified too, so that no link is lost.
 """
@@ -24,23 +25,24 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import CACHE, WORDS, written
+from tallymark.llm.common import written
 from tallymark.llm.components import components
 
 WIDTH = 5
+CACHE = 400_000  # words whose hashes a Python worker remembers
 #: Cells of a sketch that are joined. Short documents have no more; a pair of longer ones that are
 #: just linked has each cell equal with a chance of 0.29 at least, so that all 96 differ with a
 #: chance below 1e-14.
 CELLS = 96
+SOME = 32  # of so many buckets one is compared before all the others
 BLOCK = 2048  # classes of a bucket that are compared at once
-_LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 
 class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
 
@@ -56,15 +58,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; the whole sequence if it is shorter."""
-    words = WORDS.findall((text or "").translate(_LOWER) if text and not text.isascii() else (text or "").lower())
+    # of bytes, lower() turns A-Z alone, and split() cuts at blanks and 0x09 to 0x0D alone
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
     got = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = max(len(words) - width + 1, 1)
-    key = np.full(n, min(len(words), width), dtype=np.uint64)
-    for i in range(min(len(words), width)):
-        key = mixed(key + got[i:i + n])
-    return np.unique(key)
+    size = min(len(words), width)
+    n = len(words) - size + 1
+    key = np.full(n, size, dtype=np.uint64)
+    for i in range(size):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + got[i:i + n]
+    return np.unique(mixed(key))
 
 
 def class_of(found: np.ndarray) -> int:
@@ -121,11 +125,8 @@ def cell_keys(found: np.ndarray, bands: Bands, cells: int = CELLS) -> np.ndarray
 
 def bit_sketch(found: np.ndarray, width: int) -> np.ndarray:
     """Parity bits: each shingle flips one of `width` bits."""
-    place = found & np.uint64(width - 1)
-    odd, times = np.unique(place, return_counts=True)
-    bits = np.zeros(width, dtype=np.uint8)
-    bits[odd[times % 2 == 1].astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view("<u8")
+    odd = np.bincount((found & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
 
 
 def sketch_width(n: int) -> int:
@@ -317,7 +318,11 @@ def jaccard_components(docs: DataFrame, percent: int = 80, cells: int = CELLS) -
 
     stars = buckets.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     stars = written(_likely(stars, nodes, percent), "sketch-pairs")
-    pairs = written(stars.union(_apart(buckets, components(stars), nodes, percent, forest=True)).distinct(),
+    # similar classes share many cells: a few of the buckets join most of them, all the buckets the rest
+    some = buckets.where(F.pmod("key", F.lit(SOME)) == 0)
+    first = written(stars.union(_apart(some, components(stars), nodes, percent, forest=True)).distinct(),
+                    "sketch-pairs")
+    pairs = written(first.union(_apart(buckets, components(first), nodes, percent, forest=True)).distinct(),
                     "sketch-pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(nodes.select("node", "doc_id").join(ends, "node"), "doc_id")
