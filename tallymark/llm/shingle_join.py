@@ -130,7 +130,8 @@ def bit_sketch(found: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch_width(n: int) -> int:
-    return max(64, 1 << int(2 * n - 1).bit_length())
+    """Places of a sketch: eight a shingle, so that few of the shingles that differ share one."""
+    return min(max(64, 1 << int(8 * n - 1).bit_length()), 1 << 16)
 
 
 def narrowed(sketch: np.ndarray, words: int) -> np.ndarray:
