@@ -7,7 +7,6 @@ sorted by key and their sizes prefix-summed until the budget is spent, the last
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
