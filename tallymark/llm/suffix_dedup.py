@@ -229,22 +229,27 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
                     continue
                 context = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(
                     first.tolist(), (last + length).tolist(), strict=True)), np.uint64, len(key))
+                context ^= place_code(place - first)
+                # what repeats inside the text is known here, and is dealt out evenly, not by its key
+                again = np.ones(len(key), bool)
+                again[np.unique(key ^ mixed(context), return_index=True)[1]] = False
+                key = np.where(again, mixed(context + first.astype(np.uint64)), key)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array((context ^ place_code(place - first)).view(np.int64)),
+                    [pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
                      batch.column(0).take(pa.array(np.full(len(key), i))),
-                     pa.array((first * 128 + place - first) * 128 + last - first)],
-                    names=["key", "context", "doc_id", "at"])
+                     pa.array((first * 128 + place - first) * 128 + last - first), pa.array(again)],
+                    names=["key", "context", "doc_id", "at", "again"])
 
     def place_code(left: np.ndarray) -> np.ndarray:
         return mixed(left.astype(np.uint64) + np.uint64(1))
 
     of_key, of_context = Window.partitionBy("key"), Window.partitionBy("key", "context")
     met = written(
-        docs.select("doc_id", "text").mapInArrow(found, f"key bigint, context bigint, doc_id {kind}, at bigint")
-        .withColumn("first", F.min(F.struct("doc_id", "at")).over(of_context))
-        .withColumn("leads", F.struct("doc_id", "at") == F.col("first"))
+        docs.select("doc_id", "text").mapInArrow(found, f"key bigint, context bigint, doc_id {kind}, at bigint, again boolean")
+        .withColumn("first", F.min(F.when(~F.col("again"), F.struct("doc_id", "at"))).over(of_context))
+        .withColumn("leads", ~F.col("again") & (F.struct("doc_id", "at") == F.col("first")))
         .withColumn("contexts", F.sum(F.col("leads").cast("int")).over(of_key))
-        .where("not leads or contexts > 1").drop("first", "context"), "suffix-anchors")
+        .where("not leads or contexts > 1").drop("first", "context", "again"), "suffix-anchors")
     whole = met.where("not leads").select(
         "doc_id", F.expr("at div 16384").alias("start"), (F.col("at") % 128 + 1).alias("n"))
 
