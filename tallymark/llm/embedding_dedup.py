@@ -77,10 +77,9 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
         "class", F.when(F.col("usable"), F.xxhash64("label", "embedding")))
     table = written(rows.select("vec_id", "class", F.when(F.col("usable"), F.col("label")).alias("label"),
                                 F.when(F.col("usable"), F.col("embedding")).alias("embedding")), "vectors")
-    classes = written(
-        table.where("class is not null").groupBy("class", "label", "embedding").agg(F.count("*").alias("copies")),
-        "vector-classes")
-    kind = classes.schema["label"].dataType.simpleString()
+    distinct = table.where("class is not null").groupBy("class", "label", "embedding").agg(
+        F.count("*").alias("copies"))
+    kind = distinct.schema["label"].dataType.simpleString()
 
     def hashed(batches):
         for frame in batches:
@@ -89,24 +88,24 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
                 x = np.stack(part["embedding"].to_numpy()).astype(float)
                 x = x / np.abs(x).max(axis=1, keepdims=True)  # lengths of large or tiny components stay finite
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                sign = signatures(unit, tables, bits)
-                for t in range(tables):
-                    yield pd.DataFrame({
-                        "label": part["label"].to_numpy(), "width": width, "t": t, "sign": sign[:, t],
-                        "class": part["class"].to_numpy(), "copies": part["copies"].to_numpy(),
-                        "unit": [u.tobytes() for u in unit], "signs": [s.tobytes() for s in sign]})
-
-    schema = (f"label {kind}, width int, t int, sign bigint, class bigint, copies bigint, "
-              "unit binary, signs binary")
+                yield pd.DataFrame({
+                    "class": part["class"].to_numpy(), "label": part["label"].to_numpy(), "width": width,
+                    "copies": part["copies"].to_numpy(), "unit": [u.tobytes() for u in unit],
+                    "signs": list(signatures(unit, tables, bits))})
+
+    classes = written(distinct.mapInPandas(
+        hashed, f"class bigint, label {kind}, width int, copies bigint, unit binary, signs array<bigint>"),
+        "vector-classes")
     keys = ["label", "width", "t", "sign"]
-    buckets = classes.mapInPandas(hashed, schema)
-    counts = buckets.select(keys).groupBy(keys).agg(F.count("*").alias("many")).where("many > 1")
+    buckets = classes.select("class", "label", "width", F.posexplode("signs").alias("t", "sign"))
+    counts = buckets.groupBy(keys).agg(F.count("*").alias("many")).where("many > 1")
     parts = F.ceil(F.col("many") / block).cast("int")
     dealt = (
         buckets.join(counts, keys)
         .withColumn("own", F.pmod(F.xxhash64("class"), parts).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+        .join(classes.select("class", "copies", "unit", "signs"), "class")  # vectors of shared buckets alone
         .select(*keys, "x", "y", "own", "class", "copies", "unit", "signs")
         .repartition(*keys, "x", "y").sortWithinPartitions(*keys, "x", "y")
     )
@@ -118,7 +117,7 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
         if not left or not right or (x == y and len(left) == 1):
             return None
         unit = lambda side: np.stack([np.frombuffer(r[9]) for r in side])
-        sign = lambda side: np.stack([np.frombuffer(r[10], np.int64) for r in side])
+        sign = lambda side: np.array([r[10] for r in side])
         near = pairs_of(unit(left), unit(right), sign(left), sign(right), t, least)
         if x == y:
             near = np.triu(near, 1)
