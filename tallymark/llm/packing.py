@@ -19,9 +19,10 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallymark.llm.common import written
-from tallymark.llm.token_counts import byte_symbols
+from tallymark.llm.token_counts import byte_symbols, unassigned
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -43,8 +44,16 @@ def byte_tokenizer(path: str) -> tiktoken.Encoding:
                              special_tokens=special)
 
 
+@lru_cache(maxsize=2)
+def library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 def ids_of(tokens: tiktoken.Encoding, text: str, end_id: int) -> np.ndarray:
-    ids = tokens.encode_to_numpy(text, allowed_special="all")
+    if unassigned(text):  # the two libraries' Unicode tables may differ there
+        ids = np.array(library(tokens.name).encode(text, add_special_tokens=False).ids, "<u4")
+    else:
+        ids = tokens.encode_to_numpy(text, allowed_special="all")
     return np.append(ids, end_id).astype("<u4")
 
 

@@ -18,6 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from tallymark.llm.common import CACHE
 
@@ -29,14 +30,21 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def unassigned(text: str) -> bool:
+    """Whether it has characters that this Python's Unicode tables don't know, though a library's may."""
+    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text))
+
+
 class WordBPE:
     def __init__(self, path: str):
+        self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
         vocab = model["vocab"]
         tail = model.get("end_of_word_suffix") or ""
         letters = byte_symbols()
+        self.byte_of = {c: b for b, c in enumerate(letters)}
         self.inner = [vocab.get(c) for c in letters]
         self.last = [vocab.get(c + tail) for c in letters]
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
@@ -85,11 +93,21 @@ class WordBPE:
 
     def piece(self, text: str) -> int:
         if not text.isascii():
+            if unassigned(text):
+                return self.total(self.cut(text))
             text = unicodedata.normalize("NFC", text)
         # letter by letter where a word-final sigma would differ
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+        return self.total(self.words.findall(text))
+
+    def cut(self, text: str) -> list[str]:
+        """Words as the library cuts them, slowly."""
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(map(self.byte_of.__getitem__, w)).decode("utf-8") for w, _ in found]
+
+    def total(self, words: list[str]) -> int:
         known, total = self.counts, 0
-        for word, times in Counter(self.words.findall(text)).items():
+        for word, times in Counter(words).items():
             n = known.get(word)
             if n is None:
                 if len(known) >= CACHE:
