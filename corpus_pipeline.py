@@ -48,7 +48,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the line chunks that stand elsewhere already; documents left empty by that go."""
     own, back = set_aside(docs, "n_removed")
-    return same_columns(back(line_dedup(own).where("n_removed = 0 or text != ''")), docs)
+    return same_columns(back(line_dedup(own, fold=True).where("n_removed = 0 or text != ''")), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A rolling hash over the hashes of a line and the one before it decides whether a chunk ends
 there, so that equal passages are cut alike wherever they stand. Chunks of several lines that
 occur more than once in the corpus are found by hash, compared byte by byte, and all but the
-first (smallest doc_id, then place) are removed.
+first (smallest doc_id, then place) are removed. With `fold`, chunks with less than two worded lines
+are also judged together with the chunks after them, so that no worded line goes unjudged.
 """
 
 from __future__ import annotations
@@ -50,13 +51,47 @@ def joined(lines: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
-def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
-    """(doc_id, no, key, n_lines) of the chunks to remove."""
+def counts(lines: Column) -> Column:
+    """Whether a chunk of these lines is judged."""
+    return F.size(F.filter(lines, lambda line: line.rlike(WORD))) >= 2
+
+
+def folds_of(chunks: Column) -> Column:
+    """(first, last) places of the chunks that are judged as one.
+
+    A chunk that doesn't count goes with the next one that does, those at the end with the last that
+    does: where a fold ends depends on its last chunk alone, so equal passages are folded alike.
+    """
+    n = F.size(chunks)
+    return let(
+        F.filter(F.sequence(F.lit(1), n), lambda i: counts(F.get(chunks, i - 1))),
+        lambda ends: F.transform(
+            F.when(F.size(ends) == 0, F.array(n)).otherwise(ends), lambda end, k: F.struct(
+                F.coalesce(F.get(ends, k - 1), F.lit(0)).alias("first"),
+                (F.when(k + 1 < F.size(ends), end).otherwise(n) - 1).alias("last"))))
+
+
+def folded(chunks: Column, fold: Column) -> Column:
+    """All lines of a fold."""
+    return F.flatten(F.slice(chunks, fold["first"] + 1, fold["last"] - fold["first"] + 1))
+
+
+def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -> DataFrame:
+    """(doc_id, no, last, key, n_lines) of the chunks to remove; with `fold`, of the folds too."""
+
+    def units(chunks: Column) -> Column:
+        own = F.transform(chunks, lambda lines, i: F.struct(i.alias("no"), i.alias("last"), lines.alias("lines")))
+        if not fold:
+            return own
+        several = F.filter(folds_of(chunks), lambda f: f["last"] > f["first"])
+        return F.concat(own, F.transform(several, lambda f: F.struct(
+            f["first"].alias("no"), f["last"].alias("last"), folded(chunks, f).alias("lines"))))
+
     chunks = (
         docs.where(F.col("text").isNotNull())
-        .select("doc_id", F.posexplode(chunks_of(F.col("text"), one_in)).alias("no", "lines"))
-        .where(F.size(F.filter("lines", lambda line: line.rlike(WORD))) >= 2)
-        .select("doc_id", "no", F.size("lines").alias("n_lines"), joined(F.col("lines")).alias("chunk"))
+        .select("doc_id", F.inline(let(chunks_of(F.col("text"), one_in), units)))
+        .where(counts(F.col("lines")))
+        .select("doc_id", "no", "last", F.size("lines").alias("n_lines"), joined(F.col("lines")).alias("chunk"))
         .withColumn("key", F.md5("chunk"))
     )
     often = chunks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -65,30 +100,37 @@ def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
     return (
         candidates.join(firsts, ["key", "chunk"])
         .where(F.struct("doc_id", "no") != F.col("first"))
-        .select("doc_id", "no", "key", "n_lines")
+        .select("doc_id", "no", "last", "key", "n_lines")
     )
 
 
-def line_dedup(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
+def line_dedup(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -> DataFrame:
     """`docs` with `text` less its repeated chunks, and `n_removed`, the lines taken out.
 
-    A chunk counts if at least two of its lines have a word. Texts without repeated chunks, null
+    A chunk counts if at least two of its lines have a word; with `fold`, those that don't are also
+    judged as one with their neighbours, and a later copy of a text with two worded lines goes whole.
+    What goes stands at an earlier place, and what stands first stays. Texts without repeated chunks, null
     and empty ones too, stay as they are; a text of which nothing is left becomes empty. Rows that
     share a doc_id are one document with several texts: equal chunks at the same place in them
     stay; a null doc_id is the smallest. All other columns pass through (an n_removed among them
     is replaced); an empty table gives no rows.
     """
-    mark = lambda no, key: F.concat_ws(":", no.cast("string"), key)
+    mark = lambda no, last, key: F.concat_ws(":", no.cast("string"), last.cast("string"), key)
+    place = lambda m, k: F.split(m, ":")[k].cast("int")
     drops = (
-        repeated_chunks(docs.select("doc_id", "text"), one_in).distinct()
+        repeated_chunks(docs.select("doc_id", "text"), one_in, fold).distinct()
         .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_list(mark(F.col("no"), F.col("key"))).alias("__drops"))
+        .agg(F.collect_list(mark(F.col("no"), F.col("last"), F.col("key"))).alias("__drops"))
     )
 
     def left_of(chunks: Column) -> Column:
-        marks = F.transform(chunks, lambda c, i: mark(i, F.md5(joined(c))))
-        return F.transform(F.array_except(marks, F.col("__drops")),
-                           lambda m: F.get(chunks, F.split(m, ":")[0].cast("int")))
+        marks = F.transform(chunks, lambda c, i: mark(i, i, F.md5(joined(c))))
+        if fold:
+            whole = F.transform(folds_of(chunks), lambda f: mark(f["first"], f["last"], F.md5(joined(folded(chunks, f)))))
+            marks = let(marks, lambda own: F.flatten(F.transform(
+                F.array_except(whole, F.col("__drops")),
+                lambda m: F.slice(own, place(m, 0) + 1, place(m, 1) - place(m, 0) + 1))))
+        return F.transform(F.array_except(marks, F.col("__drops")), lambda m: F.get(chunks, place(m, 0)))
 
     kept = F.flatten(let(chunks_of(F.col("text"), one_in), left_of))
     columns = [c for c in docs.columns if c != "n_removed"]

@@ -53,6 +53,28 @@ def test_line_dedup_within_a_document_and_of_blank_lines(spark):
     assert got[1][0] > 0 and got[2] == (0, "\n" * 5) == got[3]
 
 
+def test_folded_line_dedup_takes_later_copies_whole(spark):
+    texts = ["\n".join(f"text {t} says {i * i} in line {i}" + "\n" * (i % 3 == t % 3) for i in range(2 + t % 9))
+             for t in range(40)]
+    rows = [(i, t, "a") for i, t in enumerate(texts * 3)] + [(200, "before\n" + texts[8] + "\nafter", "a")]
+    plain, fold = ({r.doc_id: (r.text, r.n_removed) for r in line_dedup(documents(spark, rows), fold=f).collect()}
+                   for f in (False, True))
+    assert all(fold[i] == (t, 0) for i, t in enumerate(texts))
+    assert all(fold[i][0] == "" for i in range(40, 120)) and any(plain[i][0] for i in range(40, 120))
+    assert all(fold[i][1] >= plain[i][1] for i in fold)
+    assert fold[200][0].startswith("before") and fold[200][0].endswith("after") and fold[200][1] > 0
+
+
+def test_folded_line_dedup_of_edge_rows(spark):
+    odd = [(20, "\n\n", "a"), (21, "\n\n", "a"), (22, "one line", "a"), (23, "one line", "a"), (24, LINES + "\n\nend", "a")]
+    got = line_dedup(documents(spark, [*EDGES, *odd]), fold=True).collect()
+    texts = {r.doc_id: (r.text, r.n_removed) for r in got}
+    assert len(got) == len(EDGES) + len(odd)
+    assert texts[9] == (LINES, 0) and texts[3] == (None, 0) and texts[4] == ("", 0) and texts[5] == (" \n\t ", 0)
+    assert texts[20] == texts[21] == ("\n\n", 0) and texts[22] == texts[23] == ("one line", 0)
+    assert texts[10][1] > 0 and texts[24][1] > 0 and texts[24][0].endswith("end")
+
+
 def test_mix_of_edge_rows(spark):
     docs = documents(spark, EDGES)
     rows = mix(docs).collect()

@@ -1,5 +1,7 @@
 """The stages one by one, and the pipeline as a whole."""
 
+import random
+
 import corpus_pipeline
 from tallymark.llm.common import documents as table
 from tallymark.llm.common import written
@@ -26,6 +28,16 @@ def test_stages_keep_the_columns_and_shrink_what_they_filter(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() == packed.count()
 
 
+def test_one_document_is_left_of_each_group_of_exact_copies(spark):
+    rng = random.Random(6)
+    line = lambda: " ".join(f"w{rng.randrange(10_000)}" for _ in range(rng.randrange(1, 90)))
+    texts = ["\n".join(line() for _ in range(rng.randrange(2, 12))) for _ in range(30)]
+    docs = documents(spark, [(100 * k + t, text, "a") for k in range(3) for t, text in enumerate(texts)])
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        docs = written(stage(spark, docs, SF_DIR), name)
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == list(enumerate(texts))
+
+
 def test_stages_on_edge_rows_and_empty_tables(spark):
     for docs in (documents(spark, EDGES), documents(spark, [])):
         for name, stage in corpus_pipeline.STAGES:
