@@ -219,6 +219,10 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
     if gram & (gram - 1) or not 0 < width <= 128:
         raise ValueError("gram must be a power of two, and at most 127 bytes shorter than length")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # rows with a null id are only there for others to repeat: each of their texts once, told apart by a hash
+    docs, unknown = docs.select("doc_id", "text"), F.col("doc_id").isNull()
+    docs = (docs.where(~unknown).union(docs.where(unknown).distinct())
+            .withColumn("row", F.when(unknown, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))))
 
     def found(batches):
         for batch in batches:
@@ -236,26 +240,27 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
                 key = np.where(again, mixed(context + first.astype(np.uint64)), key)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
-                     batch.column(0).take(pa.array(np.full(len(key), i))),
+                     *[batch.column(c).take(pa.array(np.full(len(key), i))) for c in (0, 2)],
                      pa.array((first * 128 + place - first) * 128 + last - first), pa.array(again)],
-                    names=["key", "context", "doc_id", "at", "again"])
+                    names=["key", "context", "doc_id", "row", "at", "again"])
 
     def place_code(left: np.ndarray) -> np.ndarray:
         return mixed(left.astype(np.uint64) + np.uint64(1))
 
     of_key, of_context = Window.partitionBy("key"), Window.partitionBy("key", "context")
     met = written(
-        docs.select("doc_id", "text").mapInArrow(found, f"key bigint, context bigint, doc_id {kind}, at bigint, again boolean")
-        .withColumn("first", F.min(F.when(~F.col("again"), F.struct("doc_id", "at"))).over(of_context))
-        .withColumn("leads", ~F.col("again") & (F.struct("doc_id", "at") == F.col("first")))
+        docs.mapInArrow(found, f"key bigint, context bigint, doc_id {kind}, row bigint, at bigint, again boolean")
+        .withColumn("first", F.min(F.when(~F.col("again"), F.struct("doc_id", "row", "at"))).over(of_context))
+        .withColumn("leads", ~F.col("again") & (F.struct("doc_id", "row", "at") == F.col("first")))
         .withColumn("contexts", F.sum(F.col("leads").cast("int")).over(of_key))
         .where("not leads or contexts > 1").drop("first", "context", "again"), "suffix-anchors")
-    whole = met.where("not leads").select(
+    whole = met.where("not leads and doc_id is not null").select(
         "doc_id", F.expr("at div 16384").alias("start"), (F.col("at") % 128 + 1).alias("n"))
 
     blocks = F.ceil(F.col("contexts") / block)
-    wanted = met.where("leads").groupBy("doc_id").agg(F.collect_list(F.struct(
-        "key", "at", F.pmod(F.xxhash64("doc_id", "at"), blocks).alias("block"), blocks.alias("blocks"))).alias("w"))
+    known = F.coalesce("doc_id", F.lit("0").cast(kind)).alias("known")
+    wanted = met.where("leads").groupBy(known, "row").agg(F.collect_list(F.struct(
+        "key", "at", F.pmod(F.xxhash64("doc_id", "row", "at"), blocks).alias("block"), blocks.alias("blocks"))).alias("w"))
 
     def cut(batches):
         for batch in batches:
@@ -273,7 +278,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     contexts = (
-        docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(
+        docs.withColumn("known", known).join(wanted, ["known", "row"]).select("doc_id", "text", "w").mapInArrow(
             cut, f"key bigint, block bigint, blocks bigint, doc_id {kind}, start bigint, left bigint, "
                  "count bigint, context binary")
         .repartition("key", "block").sortWithinPartitions("key", "block", "doc_id", F.col("start") + F.col("left"))
@@ -331,7 +336,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block:
     the bytes that are left.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    runs = (repeated_runs(docs, length, gram, block).groupBy("doc_id")
+    runs = (repeated_runs(docs, length, gram, block).where("doc_id is not null").groupBy("doc_id")
             .agg(F.collect_list(F.struct("start", "n")).alias("runs")))
 
     def removed(batches):

@@ -128,6 +128,24 @@ def test_substrings_of_edge_rows(spark):
     assert suffix_dedup(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [1000, 2])
+def test_substrings_that_rows_without_id_hold_first(spark, block):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [prose(600) for _ in range(6)]
+    nulls = [prose(80) + p + prose(80) for p in passages]
+    rows = [(None, t) for t in [*nulls, nulls[0], nulls[0], None, ""]]
+    known = [(10 + i, prose(90) + p + prose(50)) for i, p in enumerate(passages)]
+    known += [(20 + i, prose(70) + p[150:400] + prose(60)) for i, p in enumerate(passages)]
+    known += [(30 + i, t) for i, t in enumerate(nulls)]
+    got = [r for r in suffix_dedup(documents(spark, [(i, t, "a") for i, t in rows + known]), block=block).collect()]
+    # the null rows as documents before all others: what goes from the known ones is the same
+    want = brute_bytes([(i - 100, t) for i, (_, t) in enumerate(rows)] + known, 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got if r.doc_id is not None} == {
+        i: w for i, w in want.items() if i >= 0}
+    assert sorted((r.n_bytes, r.n_removed) for r in got if r.doc_id is None) == sorted((len(t or ""), 0) for _, t in rows)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.binary(max_size=6).map(lambda b: b * 7)), min_size=1, max_size=30),
        st.sampled_from([8, 24]))
