@@ -29,10 +29,11 @@ PARTS = 4  # of the training rows; each gives a model of its own, which are aver
 EPOCHS = 12
 COST = 1.0
 THRESHOLD = 0.7
+LONGEST_REMEMBERED = 64  # characters of a word; longer ones are hashed anew each time
 
 
 def _shape(word: str) -> str:
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return re.sub(r"(.)\1+", r"\1", kinds)
 
 
@@ -44,7 +45,8 @@ class _Words(dict):
             self.clear()
         crc = lambda s: zlib.crc32(s.encode("utf-8", "surrogatepass"))
         value = (crc(_shape(word)) & 0x3FFFFFFF) << 32 | crc(word.lower())
-        self[word] = value
+        if len(word) <= LONGEST_REMEMBERED:
+            self[word] = value
         return value
 
 

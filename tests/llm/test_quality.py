@@ -62,6 +62,12 @@ def test_features_of_nothing():
     assert len(features("a")) > 0
 
 
+def test_shapes_are_of_whole_words():
+    prose, mixed = "本" * 100, "本" * 64 + "、0{}A本" * 9
+    assert len(np.setxor1d(features(prose), features(mixed))) > 2  # more than the words' own hashes
+    assert len(np.setxor1d(features(prose), features("本" * 101))) == 2  # a run has one sign
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab #|\n\t\x0bé\x85", max_size=60))
 def test_measures(text):
