@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymark.llm.byte_bpe import round_trip_digests
 from tallymark.llm.common import documents
 from tallymark.llm.embedding_dedup import embedding_components
 from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
@@ -13,6 +14,7 @@ from tallymark.llm.packing import best_fit_packing
 from tallymark.llm.quality_classifier import classify
 from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from tallymark.llm.resampling import RESAMPLING_SQL, importance_resample
 from tallymark.llm.shingle_join import jaccard_components
 from tallymark.llm.suffix_dedup import suffix_dedup
 from tallymark.llm.token_counts import token_counts
@@ -68,3 +70,14 @@ def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
     return suffix_dedup(documents(spark, root)).drop("kept")
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
+    return round_trip_digests(documents(spark, root), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN)
+
+
+@query("op12_importance_resampling", RESAMPLING_SQL)
+def op12_importance_resampling(spark: SparkSession, root: str) -> DataFrame:
+    return importance_resample(documents(spark, root), spark.read.parquet(f"{root}/benchmark.parquet"))
