@@ -14,11 +14,14 @@ Pieces are the matches of the vocabulary's pattern, with the character classes o
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -79,6 +82,20 @@ class Splitter:
         return self.pattern.findall(text)
 
 
+class Pieces(dict):
+    """Packed ids of the pieces seen; those not seen yet are encoded when they are asked for."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]], older: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.older = encode, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece) or array("i", self.encode(piece.encode())).tobytes()
+        if len(piece) <= PIECE_CHARS and len(self) < KNOWN_PIECES:
+            self[piece] = ids
+        return ids
+
+
 class ByteBPE:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
@@ -86,16 +103,16 @@ class ByteBPE:
         self.split = Splitter(pattern)
         self.matcher = ahocorasick.Automaton()
         for token, rank in self.ranks.items():
-            self.matcher.add_word(token.decode("latin-1"), rank)
+            self.matcher.add_word(token.decode("latin-1"), (rank, len(token) - 1))
         self.matcher.make_automaton()
-        self.pieces: dict[str, list[int]] = {}
-        self.old_pieces: dict[str, list[int]] = {}
+        self.pieces = Pieces(self.piece, {})
         self.seams: dict[tuple[int, int], bool] = {}
-        self.size = {rank: len(token) for rank, token in self.tokens.items()}
+        every = range(max(self.tokens) + 1)
+        self.size = [len(self.tokens.get(rank, b"")) for rank in every]
         #: the longest token that a token begins with, itself left out
-        self.prefix = {rank: next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1)
-                                   if token[:n] in self.ranks), None)
-                       for rank, token in self.tokens.items()}
+        self.prefix = [next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1)
+                             if token[:n] in self.ranks), None)
+                       for token in (self.tokens.get(rank, b"") for rank in every)]
         #: the two tokens whose merge makes a token; none for single bytes
         self.halves: dict[int, tuple[int, int]] = {}
         for rank in sorted(self.tokens):
@@ -141,8 +158,8 @@ class ByteBPE:
             return [whole]
         size, prefix, seams = self.size, self.prefix, self.seams
         longest = [0] * len(data)
-        for end, rank in self.matcher.iter(data.decode("latin-1")):
-            longest[end + 1 - size[rank]] = rank  # ends go up, so the longest one stays
+        for end, (rank, back) in self.matcher.iter(data.decode("latin-1")):
+            longest[end - back] = rank  # ends go up, so the longest one stays
         blocked = bytearray(len(data) + 1)
         ids: list[int] = []
         at, last, token = 0, None, longest[0]
@@ -166,19 +183,11 @@ class ByteBPE:
                 return ids
             at, last, token = end, token, longest[end]
 
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.pieces, []
-        for piece in self.split(text):
-            found = known.get(piece)
-            if found is None:
-                found = self.old_pieces.get(piece) or self.piece(piece.encode())
-                if len(piece) <= PIECE_CHARS:
-                    if len(known) >= KNOWN_PIECES:
-                        self.old_pieces, self.pieces = known, {}
-                        known = self.pieces
-                    known[piece] = found
-            ids += found
-        return ids
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text, packed as native 32-bit integers."""
+        if len(self.pieces) >= KNOWN_PIECES:
+            self.pieces = Pieces(self.piece, dict(self.pieces))
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
 
 @lru_cache(maxsize=1)
@@ -187,8 +196,10 @@ def tokenizer(path: str, pattern: str) -> ByteBPE:
 
 
 @lru_cache(maxsize=1)
-def token_bytes(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in read_ranks(path).items()}
+def token_bytes(path: str) -> pa.Array:
+    """The bytes of every id, in the order of the ids; null where the vocabulary has a gap."""
+    tokens = {rank: token for token, rank in read_ranks(path).items()}
+    return pa.array([tokens.get(rank) for rank in range(max(tokens) + 1)], pa.binary())
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,9 +221,12 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def encoded(batches):
         bpe = tokenizer(path, pattern)
         for batch in sliced(batches):
-            ids = [bpe.encode(t) if t else [] for t in batch.column(1).to_pylist()]
+            packed = [bpe.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, packed)]) // 4
+            flat = np.frombuffer(b"".join(packed), np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                names=[id_col, "ids"])
 
     return docs.select(id_col, text_col).mapInArrow(encoded, f"`{id_col}` {kind}, ids array<int>")
 
@@ -226,13 +240,20 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def decoded(batches):
-        bytes_of = token_bytes(path).__getitem__
+        tokens = token_bytes(path)
         for batch in sliced(batches):
-            texts = [None if ids is None else b"".join(map(bytes_of, ids))
-                     for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-                names=[id_col, "ids", "decoded"])
+            ids = batch.column(1)
+            flat = tokens.take(ids.flatten())
+            if flat.null_count:
+                raise ValueError("an id that the vocabulary lacks")
+            # the tokens' bytes lie one after another: a row's are cut out at its first and last token
+            ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:]
+            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+            starts = ends[np.concatenate([[0], np.cumsum(lengths)])] if len(flat) else np.zeros(len(ids) + 1, np.int32)
+            found = pa.Array.from_buffers(pa.binary(), len(ids), [
+                pc.is_valid(ids).buffers()[1] if ids.null_count else None, pa.py_buffer(starts),
+                flat.buffers()[2]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, found], names=[id_col, "ids", "decoded"])
 
     return encoded.select(id_col, F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(
         decoded, f"`{id_col}` {kind}, ids array<int>, decoded binary")
