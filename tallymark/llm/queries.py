@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm.byte_bpe import round_trip_digests
 from tallymark.llm.common import documents
+from tallymark.llm.conversations import REPAIR_SQL, repaired_conversations
 from tallymark.llm.embedding_dedup import embedding_components
 from tallymark.llm.line_chunks import LINE_DEDUP_SQL, line_dedup
 from tallymark.llm.mixing import MIXING_SQL, mix
@@ -81,3 +82,8 @@ def op11_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
 @query("op12_importance_resampling", RESAMPLING_SQL)
 def op12_importance_resampling(spark: SparkSession, root: str) -> DataFrame:
     return importance_resample(documents(spark, root), spark.read.parquet(f"{root}/benchmark.parquet"))
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def op13_conversation_repair(spark: SparkSession, root: str) -> DataFrame:
+    return repaired_conversations(spark.read.parquet(f"{root}/conversations.parquet"))
