@@ -51,13 +51,18 @@ def a04(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_table(spark, path)
 
 
-@query("a05_write_avro", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_nationkey = 7")
+@query("a05_write_avro", """
+SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, CAST(o_orderdate AS DATE) AS day, o_totalprice,
+  CAST(o_totalprice AS DECIMAL(12,2)) AS price, [o_custkey, o_orderkey] AS keys FROM orders""")
 def a05(spark: SparkSession, sf: str) -> DataFrame:
-    """A row format by name: ORC here, as this Spark build has no Avro module; "avro" where it is present."""
-    path = scratch_path(spark, "suppliers-orc")
-    kept = table(spark, sf, "supplier").filter(F.col("s_nationkey") == 7)
-    files.write_table(kept.select("s_suppkey", "s_name", "s_acctbal"), path, "orc")
-    return files.read_table(spark, path, "orc")
+    """All orders as Avro files and back: whole numbers, text with nulls, dates, decimals, lists."""
+    path = scratch_path(spark, "orders-avro")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr("nullif(o_orderstatus, 'P')").alias("status"), F.to_date("o_orderdate").alias("day"),
+        "o_totalprice", F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        F.array("o_custkey", "o_orderkey").alias("keys"))
+    files.write_table(orders, path, "avro")
+    return files.read_table(spark, path, "avro")
 
 
 ONE_LINE_SQL = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallymark.sources.avro import read_avro, write_avro
+
 MULTILINE_CSV = {"header": True, "escape": '"', "multiLine": True, "mode": "FAILFAST"}
 
 
@@ -28,7 +30,7 @@ def write_json_records(df: DataFrame, path: str, order: Sequence[Column] = ()) -
 
 
 def has_format(spark: SparkSession, name: str) -> bool:
-    """Whether the data source is on the class path (avro is a separate module)."""
+    """Whether the data source is on the class path."""
     try:
         spark.read.format(name).schema("x int").load([])
     except (AnalysisException, Py4JJavaError):  # the latter wraps a class that is not found
@@ -37,7 +39,10 @@ def has_format(spark: SparkSession, name: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Parquet, ORC, JSON or, where its module is present, Avro."""
+    """Parquet, ORC, JSON or Avro; for the last Spark has no module here, so `sources/avro.py` writes it."""
+    if fmt == "avro":
+        write_avro(df, path)
+        return
     if not has_format(df.sparkSession, fmt):
         raise ValueError(f"no data source for {fmt!r} on the class path of this session")
     df.write.format(fmt).save(path)
@@ -45,6 +50,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: StructType | str | None = None) -> DataFrame:
+    if fmt == "avro":
+        return read_avro(spark, path, schema)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(path)
 

@@ -421,7 +421,7 @@ def test_missing_format_is_refused(spark, tmp_path):
         files.write_table(spark.range(1), str(tmp_path / "x"), "no_such_format")
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "avro"])
 def test_table_formats(spark, tmp_path, fmt):
     df = spark.createDataFrame([(1, "a"), (2, None)], "i int, s string")
     files.write_table(df, str(tmp_path / fmt), fmt)
