@@ -1,60 +1,114 @@
-"""Running trainee marks over a stream of actions."""
+"""Running trainee marks over a stream of actions, with Spark's keyed state.
+
+A trainee's state is the mark and counters of the actions that are settled, and the few that are not:
+an action is pending until the watermark has passed its time, since one from before it may still
+arrive. Settled actions are folded in the order of (at, seq) and forgotten. What is written after every
+batch with news of a trainee is the mark with the pending actions folded on top, so it is right for
+all actions so far, whatever batches they came in, as long as none is later than the watermark allows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tallymark.operators.folds import apply_step
-from tallymark.operators.joins import null_safe_join
-from tallymark.operators.scores import COUNTERS, LOWEST, score_changes, with_verdict
-from tallymark.streaming.versions import is_full, latest_version, read_state, write_version
+from tallymark.operators.scores import COUNTERS, HIGHEST, LOWEST, POINTS, with_verdict
 
-STATE = "trainee long, mark long, " + ", ".join(f"{c} long" for c in COUNTERS.values())
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TOTALS = "mark long, " + ", ".join(f"{c} long" for c in COUNTERS.values()) + ", actions long"
+OUTPUT = f"trainee long, {TOTALS}"
+MARK = Row(*[field.split()[0] for field in OUTPUT.split(", ")])
+NOTHING = (LOWEST, *[0] * len(COUNTERS), 0)
+PLACE = {action: i for i, action in enumerate(COUNTERS, 1)}
 
 
-def merge_scores(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """The marks of the trainees in ``changes`` on top of their old ones; a row per trainee on both sides."""
-    old = state.select("trainee", F.col("mark").alias("_mark"),
-                       *[F.col(c).alias(f"_{c}") for c in COUNTERS.values()])
-    joined = null_safe_join(changes, old, ["trainee"], "left")
-    start = F.coalesce("_mark", F.lit(LOWEST).cast("bigint"))
-    mark = apply_step(start)
-    zero = F.lit(0).cast("bigint")
-    return joined.select("trainee", mark.alias("mark"), *[
-        (F.coalesce(F.col(f"_{c}"), zero) + F.coalesce(F.col(c), zero)).alias(c)
-        for c in COUNTERS.values()])
+def after(totals: tuple, action: str) -> tuple:
+    """Mark, counters and number of actions after one more action."""
+    points = POINTS.get(action, 0)
+    new = list(totals)
+    new[0] = min(max(totals[0] + points, LOWEST), HIGHEST)
+    if action in PLACE:
+        new[PLACE[action]] += points
+    new[-1] += 1
+    return tuple(new)
 
 
-def stream_scores(actions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the marks of all trainees in versions below ``path``, one per micro-batch.
+def folded(totals: tuple, rows: list[tuple]) -> tuple:
+    for _, _, action in rows:
+        totals = after(totals, action)
+    return totals
 
-    A batch is brought down to one step per trainee by the distributed fold, however many
-    of its rows belong to one of them. The version of a batch holds the trainees it has rows
-    of, and now and then all; it is computed from those before it and written under the batch's number, so a batch that is run again after a
-    failure replaces its own result. Rows of a batch are taken in the order of (at, seq);
-    batches in the order of arrival.
-    """
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = read_state(spark, path, STATE, ["trainee"], before=batch_id)
-        batch.persist()  # read for the marks and for the counters
-        changed = merge_scores(state, score_changes(batch))
-        if is_full(batch_id):
-            rest = state.join(changed.select(F.col("trainee").alias("_changed")),
-                              F.col("trainee").eqNullSafe(F.col("_changed")), "left_anti")
-            changed = changed.unionByName(rest)
-        write_version(changed, path, batch_id)
-        batch.unpersist()
-
-    return (
-        actions.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+class Marks(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.settled = handle.getValueState("settled", TOTALS)
+        self.pending = handle.getListState("pending", "at long, seq long, action string")
+
+    def settle(self, rows: list[tuple], watermark_ms: int) -> tuple[tuple, list[tuple]]:
+        """Fold what the watermark has passed; the new totals and the rows still pending."""
+        rows.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        known = self.settled.get() if self.settled.exists() else NOTHING
+        done = [r for r in rows if r[0] < watermark_ms * 1000]
+        totals, rest = folded(tuple(known), done), rows[len(done):]
+        if done:
+            self.settled.update(totals)
+        if rest:
+            self.pending.put(rest)
+            self.handle.registerTimer(rest[-1][0] // 1000 + 1)  # when all of them are settled
+        else:
+            self.pending.clear()
+        return totals, rest
+
+    def waiting(self) -> list[tuple]:
+        return [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = [(r.us, r.seq, r.action) for r in rows]
+        totals, rest = self.settle(self.waiting() + new, timerValues.getCurrentWatermarkInMs())
+        yield MARK(*key, *folded(totals, rest))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Only the state shrinks: the mark that was written had all these actions in it."""
+        if rows := self.waiting():
+            self.settle(rows, timerValues.getCurrentWatermarkInMs())
+        return iter(())
+
+
+def stream_scores(actions: DataFrame, path: str, checkpoint: str, delay: str = "2 hours") -> StreamingQuery:
+    """Append the mark of every trainee with new actions, batch by batch, to the table below ``path``.
+
+    ``actions(trainee, at, seq, action)``. An action without a time counts as the earliest and has to
+    come before the watermark gets going; one that is later than ``delay`` allows is dropped. State and
+    progress are in ``checkpoint``; a run that is started anew goes on where the last one ended. A batch
+    holds the new actions of a trainee in one task: bound it at the source (maxFilesPerTrigger).
+    """
+    spark = actions.sparkSession
+    timed = actions.select(
+        "trainee", "seq", "action",
+        F.coalesce(F.col("at").cast("timestamp"), F.timestamp_seconds(F.lit(0))).alias("at"))
+    changes = (
+        timed.withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
+        .groupBy("trainee").transformWithState(Marks(), OUTPUT, "Append", "EventTime")
     )
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)  # lists and timers need it; read when the query starts
+    try:
+        return (
+            changes.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        )
+    finally:
+        spark.conf.set(PROVIDER, before)
 
 
 def current_scores(spark: SparkSession, path: str) -> DataFrame:
-    newest = latest_version(spark, path)
-    return with_verdict(read_state(spark, path, STATE, ["trainee"], before=newest + 1))
+    """The last mark written of every trainee: the one with the most actions in it."""
+    written = spark.read.schema(OUTPUT).parquet(path)
+    columns = [c for c in written.columns if c not in ("trainee", "actions")]
+    newest = written.groupBy("trainee").agg(F.max_by(F.struct(*columns), "actions").alias("_row"))
+    return with_verdict(newest.select("trainee", "_row.*"))

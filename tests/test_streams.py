@@ -3,9 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallymark.operators.scores import trainee_scores
-from tallymark.streaming import versions
 from tallymark.streaming.appends import read_appended, stream_distinct, stream_insert_if_absent
 from tallymark.streaming.scores import current_scores, stream_scores
 
@@ -18,27 +18,57 @@ def actions(n, start=0):
     return [(0 if i % 3 else i % 5, first + dt.timedelta(minutes=i), i, names[i * 7 % 5]) for i in range(start, start + n)]
 
 
-def test_scores_continue_after_a_restart(spark, tmp_path, monkeypatch):
-    inbox, marks, progress = (str(tmp_path / p) for p in ("inbox", "marks", "progress"))
-    monkeypatch.setattr(versions, "FULL_EVERY", 2)
-    for k in range(3):
-        spark.createDataFrame(actions(60, 60 * k), SCHEMA).coalesce(1).write.parquet(f"{inbox}/{k}")
+def scores_of(spark, folder, deliveries, delay="2 hours"):
+    inbox, marks, progress = (f"{folder}/{p}" for p in ("inbox", "marks", "progress"))
+    for k, rows in enumerate(deliveries):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{inbox}/{k}")
         stream = spark.readStream.schema(SCHEMA).parquet(f"{inbox}/*")
-        stream_scores(stream, marks, progress).awaitTermination()
-    whole = trainee_scores(spark.createDataFrame(actions(180), SCHEMA))
-    assert sorted(current_scores(spark, marks).collect()) == sorted(whole.collect())
-    assert versions.latest_version(spark, marks) == 2
-
-
-def test_an_unfinished_version_is_not_read(spark, tmp_path):
-    path = str(tmp_path / "v")
-    versions.write_version(spark.createDataFrame([(1, 1)], "x int, y int"), path, 0)
-    (tmp_path / "v" / "version=1").mkdir()
-    assert versions.latest_version(spark, path) == 0
-    versions.write_version(spark.createDataFrame([(2, 1)], "x int, y int"), path, 1)
-    versions.write_version(spark.createDataFrame([(1, 3), (None, 4)], "x int, y int"), path, 1)
-    read = lambda n: {tuple(r) for r in versions.read_state(spark, path, "x int, y int", ["x"], n).collect()}
-    assert read(2) == {(1, 3), (None, 4)} and read(1) == {(1, 1)} and read(0) == set()
+        stream_scores(stream, marks, progress, delay).awaitTermination()
+    return sorted(current_scores(spark, marks).collect(), key=str)
+
+
+def whole_scores(spark, rows):
+    return sorted(trainee_scores(spark.createDataFrame(rows, SCHEMA)).collect(), key=str)
+
+
+def test_scores_continue_after_a_restart(spark, tmp_path):
+    """Three runs of the stream from one checkpoint; each trainee is in all of them."""
+    deliveries = [actions(60, 60 * k) for k in range(3)]
+    assert all(len({r[0] for r in d}) == 5 for d in deliveries)
+    assert scores_of(spark, tmp_path, deliveries) == whole_scores(spark, actions(180))
+
+
+def test_actions_that_come_late_take_their_place(spark, tmp_path):
+    """Neighbours swapped across deliveries: their order decides the mark, as it is clamped."""
+    rows = actions(180)
+    late = [r for r in rows if r[2] % 7 == 3]
+    in_time = [r for r in rows if r[2] % 7 != 3]
+    deliveries = [in_time[:70], late[:10] + in_time[70:90], in_time[90:] + late[10:]]
+    assert scores_of(spark, tmp_path, deliveries) == whole_scores(spark, rows)
+    first, *rest = [r for d in deliveries for r in d if r[0] == 0]
+    by_arrival = trainee_scores(spark.createDataFrame(
+        [(r[0], r[1], n, r[3]) for n, r in enumerate([first, *rest])], SCHEMA).withColumn("at", F.lit(None))).first()
+    assert by_arrival.mark != next(r.mark for r in whole_scores(spark, rows) if r.trainee == 0)
+
+
+def test_settled_actions_leave_the_state_and_later_ones_are_dropped(spark, tmp_path):
+    rows = actions(180)
+    too_late = (0, dt.datetime(2024, 1, 1), 999, "do_homework")
+    deliveries = [rows[:170], rows[170:], [too_late], [(99, dt.datetime(2024, 1, 1, 2, 59), 1, "do_homework")]]
+    got = scores_of(spark, tmp_path, deliveries, delay="10 minutes")
+    assert got == whole_scores(spark, rows + [deliveries[3][0]])
+    state = spark.read.format("statestore").option("stateVarName", "pending").load(f"{tmp_path}/progress")
+    kept = state.selectExpr("list_value.at AS at").collect() if "list_value" in state.columns else None
+    if kept is not None:
+        assert all(r.at >= 1704067200_000_000 + 60_000_000 * (179 - 10) for r in kept) and len(kept) < 15
+
+
+def test_actions_without_a_time_or_a_trainee(spark, tmp_path):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(None, day, 1, "do_homework"), (1, None, 1, "do_homework"), (1, day, 2, "miss_lecture"),
+            (None, day, 0, "miss_homework"), (1, day, None, "visit_lecture")]
+    got = scores_of(spark, tmp_path, [rows])
+    assert sorted((r.trainee or 0, r.mark) for r in got) == [(0, 2), (1, 2)]
 
 
 EVENTS = "event_id long, ts timestamp_ntz, value int"
