@@ -83,14 +83,14 @@ def stream_scores(actions: DataFrame, path: str, checkpoint: str, delay: str = "
     """Append the mark of every trainee with new actions, batch by batch, to the table below ``path``.
 
     ``actions(trainee, at, seq, action)``. An action without a time counts as the earliest and has to
-    come before the watermark gets going; one that is later than ``delay`` allows is dropped. State and
+    come before the watermark gets going, which starts at 1970; one later than ``delay`` allows is dropped. State and
     progress are in ``checkpoint``; a run that is started anew goes on where the last one ended. A batch
     holds the new actions of a trainee in one task: bound it at the source (maxFilesPerTrigger).
     """
     spark = actions.sparkSession
     timed = actions.select(
         "trainee", "seq", "action",
-        F.coalesce(F.col("at").cast("timestamp"), F.timestamp_seconds(F.lit(0))).alias("at"))
+        F.coalesce(F.col("at").cast("timestamp"), F.timestamp_millis(F.lit(1))).alias("at"))
     changes = (
         timed.withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
         .groupBy("trainee").transformWithState(Marks(), OUTPUT, "Append", "EventTime")
