@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators.scores import trainee_scores
-from tallymark.streaming.appends import read_appended, stream_distinct, stream_insert_if_absent
+from tallymark.streaming.appends import key_bucket, read_appended, stream_distinct, stream_insert_if_absent
 from tallymark.streaming.scores import current_scores, stream_scores
 
 SCHEMA = "trainee long, at timestamp_ntz, seq long, action string"
@@ -95,6 +95,19 @@ def test_append_ignores_what_is_there(spark, tmp_path, zone):
     assert sorted(map(tuple, out)) == [(1, 10), (2, 20), (3, 30)]
 
 
+def test_a_batch_reads_the_buckets_of_its_keys_only(spark, tmp_path):
+    table = str(tmp_path / "table")
+    day = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(i, day, i) for i in range(2000)], EVENTS)
+    rows.withColumn("bucket", key_bucket(["event_id"])).write.partitionBy("bucket").parquet(f"{table}/batch=0")
+    wanted = [r[0] for r in rows.filter("event_id in (5, 17)").select(key_bucket(["event_id"])).collect()]
+    read = read_appended(spark, table, rows.schema, before=1, buckets=wanted)
+    files = {r[0].split("bucket=")[1].split("/")[0] for r in read.select(F.input_file_name()).distinct().collect()}
+    assert files == set(map(str, wanted)) and read.columns == rows.columns
+    assert {5, 17} <= {r.event_id for r in read.collect()}
+    assert read_appended(spark, table, rows.schema, before=0).count() == 0
+
+
 def test_append_replays_from_a_lost_checkpoint(spark, tmp_path):
     inbox, table = str(tmp_path / "inbox"), str(tmp_path / "table")
     day = dt.datetime(2024, 1, 1)
