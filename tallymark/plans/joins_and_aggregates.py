@@ -12,6 +12,7 @@ from tallymark.functions.dates import calendar
 from tallymark.functions.money import cents, money, share, sum_money
 from tallymark.operators.frames import describe
 from tallymark.operators.joins import densify, earliest_pair_with_sum
+from tallymark.operators.moving import nearest_value
 from tallymark.operators.lists import comma_lists, common_prefix, list_chunks
 from tallymark.plans.registry import query
 from tallymark.sources.tables import table
@@ -56,13 +57,23 @@ def c02(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("c03_theta_self_left", """
-WITH years AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders)
-SELECT a.o_custkey, a.y, min(b.y) AS next_y FROM years a
-LEFT JOIN years b ON b.o_custkey = a.o_custkey AND b.y > a.y GROUP BY a.o_custkey, a.y""")
+SELECT a.o_orderkey, a.o_orderdate, min(b.o_orderdate) AS next_date FROM orders a
+LEFT JOIN orders b ON b.o_custkey = a.o_custkey AND b.o_orderdate > a.o_orderdate GROUP BY 1, 2""")
 def c03(spark: SparkSession, sf: str) -> DataFrame:
-    """``LEFT JOIN ... ON same id AND later year`` with MIN is the next row of the id."""
-    years = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y")).distinct()
-    return years.withColumn("next_y", F.lead("y").over(W.partitionBy("o_custkey").orderBy("y")))
+    """``LEFT JOIN ... ON same id AND later date`` with MIN, for every order."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return nearest_value(orders, ["o_custkey"], "o_orderdate", orders, ["o_custkey"], "o_orderdate",
+                         "next_date").drop("o_custkey")
+
+
+@query("c03b_theta_left", """
+SELECT l_orderkey, l_linenumber, (SELECT min(o_orderdate) FROM orders WHERE o_custkey = l_suppkey AND o_orderdate > l_shipdate)
+  AS next_order FROM lineitem""")
+def c03b(spark: SparkSession, sf: str) -> DataFrame:
+    """The same between two tables: the next order by the customer with the number of a line's supplier."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    return nearest_value(lines, ["l_suppkey"], "l_shipdate", table(spark, sf, "orders"), ["o_custkey"], "o_orderdate",
+                         "next_order").select("l_orderkey", "l_linenumber", "next_order")
 
 
 @query("c04_cross", """

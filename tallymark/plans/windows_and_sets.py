@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallymark.functions.money import cents, money
+from tallymark.operators.moving import moving_groups, moving_rows, nearest_value, range_total
 from tallymark.operators.ordered import (
     global_row_number, rank_in_group, running_total, running_total_of_peers)
 from tallymark.operators.sets import distinct_keep_order, in_all_lists
 from tallymark.operators.topk import top_distinct_values, top_rank
-from tallymark.operators.windows import (
-    first_duplicate, groups_frame, latest_per_group, with_group_total)
+from tallymark.operators.windows import first_duplicate, latest_per_group, with_group_total
 from tallymark.plans.registry import query
 from tallymark.session import scratch_path
 from tallymark.sources import files
@@ -21,13 +21,6 @@ from tallymark.sources.tables import table
 PRICE = "CAST(o_totalprice AS DECIMAL(12,2))"
 
 
-def daily_by_priority(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per priority and day: frames over days, not over orders."""
-    return table(spark, sf, "orders").groupBy(
-        "o_orderpriority", F.to_date("o_orderdate").alias("day")
-    ).agg(F.sum(cents("o_totalprice")).alias("_c"), F.count(F.lit(1)).alias("n"))
-
-
 # --- e: window functions ------------------------------------------------------------------
 
 
@@ -86,14 +79,24 @@ def e05(spark: SparkSession, sf: str) -> DataFrame:
     return running.select("o_orderkey", money("running").alias("running"))
 
 
-@query("e06_moving_rows", """
-WITH d AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1, 2)
-SELECT o_orderpriority, day, round(avg(n) OVER (PARTITION BY o_orderpriority ORDER BY day
-  ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING), 6) AS moving_avg FROM d""")
+CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
+
+
+@query("e06_moving_rows", f"""
+SELECT o_orderkey, round(CAST(sum({CENTS}) OVER w AS DOUBLE) / count(*) OVER w, 4) AS moving_avg FROM orders
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)""")
 def e06(spark: SparkSession, sf: str) -> DataFrame:
-    w = W.partitionBy("o_orderpriority").orderBy("day").rowsBetween(-2, 1)
-    return daily_by_priority(spark, sf).select(
-        "o_orderpriority", "day", F.round(F.avg("n").over(w), 6).alias("moving_avg"))
+    """The average over an order and its neighbours, in cents."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", "o_orderpriority", cents("o_totalprice").alias("_c"))
+    moved = moving_rows(
+        orders, ["o_orderpriority"], [F.col("o_orderdate"), F.col("o_orderkey")], 2, 1,
+        lambda rows: {"moving_avg": mean_of("_c", rows(-2, 1))})
+    return moved.select("o_orderkey", "moving_avg")
+
+
+def mean_of(column: str, window: WindowSpec) -> Column:
+    return F.round(F.sum(column).over(window).cast("double") / F.count(column).over(window), 4)
 
 
 @query("e07_running_range", f"""
@@ -105,55 +108,57 @@ def e07(spark: SparkSession, sf: str) -> DataFrame:
     return running.withColumn("running", money("running"))
 
 
+LINE_CENTS = "CAST(l_extendedprice AS DECIMAL(12,2))"
+
+
+def shipped_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", cents("l_extendedprice").alias("_c"))
+
+
 @query("e08_range_interval", f"""
-SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(sum({PRICE}) OVER (
-  PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE)
-  RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS last_days FROM orders""")
+SELECT DISTINCT l_returnflag, l_shipdate, CAST(sum({LINE_CENTS}) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate
+  RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS last_days FROM lineitem""")
 def e08(spark: SparkSession, sf: str) -> DataFrame:
-    sums = daily_by_priority(spark, sf).selectExpr(
-        "o_orderpriority", "day",
-        """sum(_c) OVER (PARTITION BY o_orderpriority ORDER BY day
-           RANGE BETWEEN INTERVAL '3' DAY PRECEDING AND CURRENT ROW) AS _s""")
-    return sums.select("o_orderpriority", "day", money("_s").alias("last_days"))
+    sums = range_total(shipped_lines(spark, sf), ["l_returnflag"], "l_shipdate", F.col("_c"),
+                       F.col("l_shipdate") - F.expr("INTERVAL '3' DAY"), "_s")
+    return sums.select("l_returnflag", "l_shipdate", money("_s").alias("last_days"))
 
 
 @query("e09_groups_frame", f"""
-SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(sum({PRICE}) OVER (
-  PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE)
-  GROUPS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS last_groups FROM orders""")
+SELECT DISTINCT l_returnflag, l_shipdate, CAST(sum({LINE_CENTS}) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate
+  GROUPS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS last_groups FROM lineitem""")
 def e09(spark: SparkSession, sf: str) -> DataFrame:
-    sums = groups_frame(daily_by_priority(spark, sf), ["o_orderpriority"], F.col("day").asc(),
-                        F.col("_c"), -2, 0, "_s")
-    return sums.select("o_orderpriority", "day", money("_s").alias("last_groups"))
+    sums = moving_groups(shipped_lines(spark, sf), ["l_returnflag"], "l_shipdate", F.col("_c"), -2, 0, "_s")
+    return sums.select("l_returnflag", "l_shipdate", money("_s").alias("last_groups"))
 
 
 @query("e10_exclude_group", f"""
-SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(sum({PRICE}) OVER (
-  PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE)
-  GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW EXCLUDE GROUP) AS DECIMAL(28,2)) AS group_before FROM orders""")
+SELECT DISTINCT l_returnflag, l_shipdate, CAST(sum({LINE_CENTS}) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate
+  GROUPS BETWEEN 1 PRECEDING AND 2 FOLLOWING EXCLUDE GROUP) AS DECIMAL(28,2)) AS groups_around FROM lineitem""")
 def e10(spark: SparkSession, sf: str) -> DataFrame:
-    sums = groups_frame(daily_by_priority(spark, sf), ["o_orderpriority"], F.col("day").asc(),
-                        F.col("_c"), -1, -1, "_s")
-    return sums.select("o_orderpriority", "day", money("_s").alias("group_before"))
+    sums = moving_groups(shipped_lines(spark, sf), ["l_returnflag"], "l_shipdate", F.col("_c"), -1, 2, "_s",
+                         exclude_group=True)
+    return sums.select("l_returnflag", "l_shipdate", money("_s").alias("groups_around"))
+
+
+def centred(rows: str) -> str:
+    window = f"(ORDER BY o_orderdate, o_orderkey ROWS BETWEEN {rows})"
+    return f"round(CAST(sum({CENTS}) OVER {window} AS DOUBLE) / count(*) OVER {window}, 4)"
 
 
-@query("e11_conditional_frame", """
-WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
-SELECT day, round(CASE dayname(day)
-  WHEN 'Monday' THEN avg(n) OVER (ORDER BY day ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)
-  WHEN 'Friday' THEN avg(n) OVER (ORDER BY day ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING)
-  ELSE avg(n) OVER (ORDER BY day ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) END, 6) AS centered FROM d""")
+@query("e11_conditional_frame", f"""
+SELECT o_orderkey, CASE dayname(o_orderdate) WHEN 'Monday' THEN {centred("2 PRECEDING AND 1 FOLLOWING")}
+  WHEN 'Friday' THEN {centred("1 PRECEDING AND 2 FOLLOWING")}
+  ELSE {centred("1 PRECEDING AND 1 FOLLOWING")} END AS centered FROM orders""")
 def e11(spark: SparkSession, sf: str) -> DataFrame:
-    """A frame per weekday over one row per day: a few thousand rows in any data set."""
-    daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"))
-    name, order = F.date_format("day", "EEEE"), W.orderBy("day")
-    centered = (
-        F.when(name == "Monday", F.avg("n").over(order.rowsBetween(-2, 1)))
-        .when(name == "Friday", F.avg("n").over(order.rowsBetween(-1, 2)))
-        .otherwise(F.avg("n").over(order.rowsBetween(-1, 1)))
-    )
-    return daily.select("day", F.round(centered, 6).alias("centered"))
+    """A frame per weekday over all orders in one order, without a key."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", cents("o_totalprice").alias("_c"))
+    name = F.date_format("o_orderdate", "EEEE")
+    moved = moving_rows(
+        orders, [], [F.col("o_orderdate"), F.col("o_orderkey")], 2, 2,
+        lambda rows: {"centered": F.when(name == "Monday", mean_of("_c", rows(-2, 1)))
+                      .when(name == "Friday", mean_of("_c", rows(-1, 2))).otherwise(mean_of("_c", rows(-1, 1)))})
+    return moved.select("o_orderkey", "centered")
 
 
 @query("e12_next_value", """
@@ -161,8 +166,7 @@ WITH d AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders)
 SELECT o_custkey, o_orderdate, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS next_date FROM d""")
 def e12(spark: SparkSession, sf: str) -> DataFrame:
     days = table(spark, sf, "orders").select("o_custkey", "o_orderdate").distinct()
-    w = W.partitionBy("o_custkey").orderBy("o_orderdate")
-    return days.withColumn("next_date", F.lead("o_orderdate").over(w))
+    return nearest_value(days, ["o_custkey"], "o_orderdate", days, ["o_custkey"], "o_orderdate", "next_date")
 
 
 @query("e13_latest_per_group", """
