@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import ascii_words, words
+from tallymark.operators.bitmaps import in_all, numbers_of, to_bitmaps
+from tallymark.operators.joins import null_safe_join
 
 BLOCK = 65_536
 BUCKETS = 64
 
 
+def dealt(docs: DataFrame) -> DataFrame:
+    """Documents dealt out by id before their words are cut, whatever row groups they are read from."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(partitions, "doc_id")
+
+
 def postings(docs: DataFrame) -> DataFrame:
     """(word, doc_id), each pair once; repeats are dropped inside the document, so this is
     a scan without a shuffle. ``docs(doc_id, text)`` has one row per id."""
@@ -27,7 +35,7 @@ def build_index(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     Ids have nothing to combine before the shuffle, so the pairs are sent first and
     collected once, where they arrive.
     """
-    numbered = postings(docs).withColumn("block", F.floor(F.col("doc_id") / block))
+    numbered = postings(dealt(docs.select("doc_id", "text"))).withColumn("block", F.floor(F.col("doc_id") / block))
     return numbered.repartition("word", "block").groupBy("word", "block").agg(
         F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
 
@@ -58,31 +66,22 @@ def query_words(queries: DataFrame) -> DataFrame:
 def query_index(index: DataFrame, asked: DataFrame) -> DataFrame:
     """(query_id, doc_id) for the documents with all words of each query.
 
-    ``asked(query_id, word)``, no pair twice. A query with a word the index does not know
-    has no rows. The rarest word of a query yields its candidates, block by block; each other
-    word's list of the same block is intersected with them where it lies, so no posting list
-    is taken apart, and blocks without candidates are not joined.
+    ``asked(query_id, word)``, no pair twice. A query with a word the index does not know has no rows.
+    Which blocks have every word of a query is known from the index without its lists; the lists of
+    those blocks alone are read, each once for all queries, and turned into bitmaps, and one aggregate
+    intersects all words of a query.
     """
     vocabulary = asked.select("word").distinct()
     relevant = index.join(vocabulary, "word", "left_semi")
-    sizes = relevant.groupBy("word").agg(F.sum("n_docs").alias("n_docs"))
-    sized = asked.join(sizes, "word", "left")
-    plans = sized.groupBy("query_id").agg(
-        F.min_by("word", F.struct("n_docs", "word")).alias("rarest"),
-        F.count(F.lit(1)).alias("n_words"), F.count("n_docs").alias("n_known"),
-    ).filter(F.col("n_words") == F.col("n_known")).drop("n_known")
-    candidates = plans.join(relevant, plans.rarest == relevant.word).select(
-        "query_id", "n_words", "rarest", "block", F.col("doc_ids").alias("wanted"))
-    single = candidates.filter(F.col("n_words") == 1).select("query_id", F.explode("wanted").alias("doc_id"))
-    probes = candidates.filter(F.col("n_words") > 1).join(asked, "query_id").filter(
-        F.col("word") != F.col("rarest")).select("query_id", "n_words", "block", "wanted", "word")
-    several = (
-        probes.join(relevant, ["word", "block"])
-        .select("query_id", "n_words", F.explode(F.array_intersect("wanted", "doc_ids")).alias("doc_id"))
-        .groupBy("query_id", "doc_id", "n_words").agg(F.count(F.lit(1)).alias("_hits"))
-        .filter(F.col("_hits") == F.col("n_words") - 1).select("query_id", "doc_id")
-    )
-    return single.unionByName(several)
+    sizes = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_words"))
+    found = asked.join(relevant.select("word", "block"), "word").groupBy("query_id", "block").agg(
+        F.count(F.lit(1)).alias("n_found"))
+    whole = null_safe_join(found, sizes, ["query_id"]).filter("n_found = n_words").drop("n_found")
+    wanted = null_safe_join(asked, whole, ["query_id"])
+    lists = relevant.join(wanted.select("word", "block").distinct(), ["word", "block"], "left_semi")
+    bits = to_bitmaps(lists.select("word", "block", F.explode("doc_ids").alias("doc_id")), ["word", "block"], "doc_id")
+    sets = wanted.join(bits, ["word", "block"])
+    return numbers_of(in_all(sets, ["query_id", "block"], F.col("n_words")), "doc_id").select("query_id", "doc_id")
 
 
 def answer_lines(answers: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -98,7 +97,7 @@ def top_words(docs: DataFrame, stop_words: DataFrame, k: int) -> DataFrame:
     first. ``stop_words(word)``."""
     # Document and place in one exact number: a struct as buffer would sort all words.
     document = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
-    seen = docs.select(document.alias("document"), F.posexplode(ascii_words("text")).alias("pos", "word"))
+    seen = dealt(docs.select("doc_id", "text")).select(document.alias("document"), F.posexplode(ascii_words("text")).alias("pos", "word"))
     counts = seen.groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col("document") + F.col("pos")).alias("first"))
     kept = counts.join(stop_words.select("word"), "word", "left_anti")
