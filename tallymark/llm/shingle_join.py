@@ -11,8 +11,10 @@ distance is a lower bound too. In a bucket of classes with an equal cell, each i
 centre; the pairs that the bit sketches allow connect most of what is linked. Classes of a bucket
 that are still apart are compared in blocks, and as many pairs are added as connect the rest (first in some
 of the buckets, then in all).
-All these are verified; then every pair of a bucket that the sketches allow, and that the links
-found so far leave apart, is verified too, so that no link is lost.
+All these are verified. Then the sets of the classes that the sketches allow a pair with, and that
+the links found so far leave apart, are brought to the blocks, where each such pair is verified and
+as many links leave as connect what is linked: no link is lost, and no step hands on the pairs of a
+large group whose members are nearly, but not quite, linked.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ CACHE = 400_000  # words whose hashes a Python worker remembers
 CELLS = 96
 SOME = 32  # of so many buckets one is compared before all the others
 BLOCK = 2048  # classes of a bucket that are compared at once
+BLOCK_SHINGLES = 1 << 20  # and what their sets have together, about
 
 
 class _WordHashes(dict):
@@ -213,85 +216,166 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def linked(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                shared = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            for start in range(0, batch.num_rows, 64):  # sets of long texts are large
+                part = batch.slice(start, 64)
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    shared = len(x) + len(y) - len(np.union1d(x, y))
+                    keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(linked, "a bigint, b bigint")
 
 
-def _apart(buckets: DataFrame, groups: DataFrame, nodes: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs (a, b) of a bucket's classes in different components that size and bit sketch allow.
+def _blocks(buckets: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, x, y, own, node, component, n, sketch): classes of the buckets that hold several components.
 
-    forest: only as many as connect what all of them would connect. Buckets of two classes are
-    left out, as their pair has been verified already.
+    A bucket is cut into parts of a bounded number of classes and shingles; a block (x, y) has the
+    classes of two parts, or of one. Buckets of two classes are left out, as their pair has been
+    verified already.
     """
     bucket = Window.partitionBy("key")
     rows = (
-        buckets.join(groups.withColumnRenamed("id", "node"), "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component"))
+        buckets.join(groups.withColumnRenamed("id", "node"), "node", "left").join(nodes.select("node", "n"), "node")
+        .select("key", "node", "n", F.coalesce("component", "node").alias("component"))
         .withColumn("first", F.min("component").over(bucket)).withColumn("last", F.max("component").over(bucket))
-        .withColumn("many", F.count("*").over(bucket)).where("first < last and many > 2")
+        .withColumn("many", F.count("*").over(bucket)).withColumn("of", F.max("n").over(bucket))
+        .where("first < last and many > 2").join(nodes.select("node", "sketch"), "node")
     )
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    rows = (
-        rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # the sets of a bucket are of like size, as its key names their band
+    parts = F.ceil(F.col("many") / F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.lit(BLOCK_SHINGLES) / F.col("of")))).cast("int")
+    return (
+        rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own",
-                "node", "component")
-        .join(nodes.select("node", "n", "sketch"), "node")
-        .select("key", "x", "y", "own", "node", "component", "n", "sketch")
-        .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+                "node", "component", "n", "sketch")
     )
 
-    def pairs(block: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per class of the first block, those it is paired with."""
-        x, y = block[0][1], block[0][2]
-        left = [r for r in block if r[3] == x]
-        right = left if x == y else [r for r in block if r[3] == y]
-        if not left or not right:
-            return
-        words = min(len(r[7]) for r in block) // 8
-        sketch = lambda side: np.stack([narrowed(np.frombuffer(r[7], "<u8"), words) for r in side])
-        column = lambda i: np.array([r[i] for r in right], dtype=np.int64)
-        names, number = np.unique([r[5] for r in [*left, *right]], return_inverse=True)
-        of_left, group = number[:len(left)], number[len(left):]
-        merged = np.arange(len(names))  # the component that each has become part of
-        bits, size, ids = sketch(right), column(6), column(4)
-        for r, own, mine in zip(left, sketch(left), of_left.tolist(), strict=True):
-            fit = (merged[group] != merged[mine]) & (
-                100 * np.minimum(size, r[6]) >= percent * np.maximum(size, r[6]))
-            if x == y:
-                fit &= ids > r[4]
-            at = np.flatnonzero(fit)
-            most = (size[at] + r[6]) * (100 - percent) // (100 + percent)
-            at = at[np.bitwise_count(bits[at] ^ own).sum(axis=1) <= most]
-            if not len(at):
-                continue
-            if forest:  # one pair per component that it meets, which are one component from now on
-                at = at[np.unique(merged[group[at]], return_index=True)[1]]
-                merged[np.isin(merged, merged[group[at]])] = merged[mine]
-            yield np.full(len(at), r[4]), ids[at]
-
-    def emitted(block: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for a, b in pairs(block):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    def found(batches):
-        block: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each block, which come one after another."""
+    block: list[tuple] = []
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1024):
+            for row in zip(*(c.to_pylist() for c in batch.slice(start, 1024).columns), strict=True):
                 if block and row[:3] != block[0][:3]:
-                    yield from emitted(block)
+                    yield block
                     block = []
                 block.append(row)
-        if block:
-            yield from emitted(block)
+    if block:
+        yield block
+
+
+class _Block:
+    """The classes of a block, and which pairs of them sizes and bit sketches allow to be linked."""
 
-    return rows.mapInArrow(found, "a bigint, b bigint").distinct()
+    def __init__(self, rows: list[tuple], percent: int):
+        x, y = rows[0][1], rows[0][2]
+        self.percent, self.same = percent, x == y
+        self.left = [r for r in rows if r[3] == x]
+        self.right = self.left if self.same else [r for r in rows if r[3] == y]
+        if not self.left or not self.right:
+            self.left = self.right = []
+            return
+        words = min(len(r[7]) for r in rows) // 8
+        self.of_left, self.bits = (np.stack([narrowed(np.frombuffer(r[7], "<u8"), words) for r in side])
+                                   for side in (self.left, self.right))
+        names, number = np.unique([r[5] for r in [*self.left, *self.right]], return_inverse=True)
+        self.own, self.group = number[:len(self.left)].tolist(), number[len(self.left):]
+        self.merged = np.arange(len(names))  # the component that each has become part of
+        self.size, self.ids = (np.array([r[i] for r in self.right], dtype=np.int64) for i in (6, 4))
+
+    def allowed(self, i: int) -> np.ndarray:
+        """Places on the right that may be linked with class i on the left and are apart from it."""
+        row = self.left[i]
+        fit = (self.merged[self.group] != self.merged[self.own[i]]) & (
+            100 * np.minimum(self.size, row[6]) >= self.percent * np.maximum(self.size, row[6]))
+        if self.same:
+            fit &= self.ids > row[4]
+        at = np.flatnonzero(fit)
+        most = (self.size[at] + row[6]) * (100 - self.percent) // (100 + self.percent)
+        return at[np.bitwise_count(self.bits[at] ^ self.of_left[i]).sum(axis=1) <= most]
+
+    def joined(self, i: int, at: np.ndarray) -> np.ndarray:
+        """One of these places per component that they are in; all are one with that of i from now on."""
+        at = at[np.unique(self.merged[self.group[at]], return_index=True)[1]]
+        self.merged[np.isin(self.merged, self.merged[self.group[at]])] = self.merged[self.own[i]]
+        return at
+
+
+def _pairs(i: int, at: np.ndarray, block: _Block) -> pa.RecordBatch:
+    a, b = np.full(len(at), block.left[i][4]), block.ids[at]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _apart(buckets: DataFrame, groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's classes in different components that size and bit sketch allow:
+    as many as connect what all of them would connect."""
+
+    def found(batches):
+        for rows in _by_block(batches):
+            block = _Block(rows, percent)
+            for i in range(len(block.left)):
+                if len(at := block.allowed(i)):
+                    yield _pairs(i, block.joined(i, at), block)
+
+    dealt = _blocks(buckets, groups, nodes).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+    return dealt.mapInArrow(found, "a bigint, b bigint").distinct()
+
+
+def _linked_in_blocks(buckets: DataFrame, groups: DataFrame, nodes: DataFrame, sets: DataFrame,
+                      percent: int) -> DataFrame:
+    """Links (a, b) between components: as many as connect all that are linked in some block.
+
+    First each block names the classes that have an allowed partner in it; only their sets are brought
+    to the block, where they are verified.
+    """
+    schema = "key bigint, x int, y int, own int, node bigint, component bigint, n bigint, sketch binary"
+
+    def with_partner(batches):
+        for rows in _by_block(batches):
+            block, some = _Block(rows, percent), set()
+            for i, row in enumerate(block.left):
+                if len(at := block.allowed(i)):
+                    some.add(row[4])
+                    some.update(block.ids[at].tolist())
+            if some:
+                kept = [r for r in rows if r[4] in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*kept), (pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 3,
+                                                                 pa.binary()))], names=[c.split()[0] for c in schema.split(", ")])
+
+    def verified(batches):
+        for rows in _by_block(batches):
+            block = _Block(rows, percent)
+            if not block.left:
+                continue
+            # shingles by number, so that what a set shares with all others is one look-up
+            whole = np.concatenate([np.frombuffer(r[8], "<u8") for r in [*block.left, *block.right]])
+            number = np.unique(whole, return_inverse=True)[1]
+            size = np.array([len(r[8]) // 8 for r in [*block.left, *block.right]])
+            ends = np.cumsum(size)
+            starts, many = ends - size, len(block.left)
+            marked = np.zeros(number.max() + 1, dtype=bool)
+            for i in range(many):
+                at = block.allowed(i)
+                if not len(at):
+                    continue
+                mine = number[starts[i]:ends[i]]
+                marked[mine] = True
+                shared = np.array([np.count_nonzero(marked[number[starts[many + j]:ends[many + j]]]) for j in at.tolist()])
+                marked[mine] = False
+                at = at[100 * shared >= percent * (size[i] + size[many + at] - shared)]
+                if len(at):
+                    yield _pairs(i, block.joined(i, at), block)
+
+    dealt = _blocks(buckets, groups, nodes).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+    # written first: the sets that are joined to them are few
+    members = written(dealt.mapInArrow(with_partner, schema), "sketch-members")
+    complete = (members.join(sets, "node").select(*members.columns, "places")
+                .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node"))
+    return complete.mapInArrow(verified, "a bigint, b bigint").distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, cells: int = CELLS) -> DataFrame:
@@ -321,17 +405,17 @@ def jaccard_components(docs: DataFrame, percent: int = 80, cells: int = CELLS) -
     stars = written(_likely(stars, nodes, percent), "sketch-pairs")
     # similar classes share many cells: a few of the buckets join most of them, all the buckets the rest
     some = buckets.where(F.pmod("key", F.lit(SOME)) == 0)
-    first = written(stars.union(_apart(some, components(stars), nodes, percent, forest=True)).distinct(),
+    first = written(stars.union(_apart(some, components(stars), nodes, percent)).distinct(),
                     "sketch-pairs")
-    pairs = written(first.union(_apart(buckets, components(first), nodes, percent, forest=True)).distinct(),
+    pairs = written(first.union(_apart(buckets, components(first), nodes, percent)).distinct(),
                     "sketch-pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(nodes.select("node", "doc_id").join(ends, "node"), "doc_id")
     sets = written(_sets(texts), "sketch-sets").dropDuplicates(["node"])  # a doc_id may have several texts
     links = written(_verified(pairs, sets, percent), "sketch-links")
     # what the verified links leave apart, though the sketches would have it together
-    more = _apart(buckets, components(links), nodes, percent, forest=False).join(pairs, ["a", "b"], "left_anti")
-    links = links.union(written(_verified(written(more, "sketch-pairs"), sets, percent), "sketch-links"))
+    more = _linked_in_blocks(buckets, components(links), nodes, sets, percent)
+    links = links.union(written(more, "sketch-links"))
     groups = components(links).withColumnRenamed("id", "node")
 
     grouped = profile.join(groups, "node", "left").withColumn(

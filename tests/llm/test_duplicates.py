@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallymark.llm import shingle_join
 from tallymark.llm.common import WORDS
 from tallymark.llm.components import components
 from tallymark.llm.embedding_dedup import embedding_components
@@ -64,6 +65,39 @@ def test_jaccard_groups(spark, seed):
     assert got == {i: (n, g) for i, (n, g) in enumerate(zip(sizes, groups, strict=True))}
 
 
+def test_pairs_that_are_nearly_linked_are_not_handed_on(spark):
+    """Texts of 40 words whose last five are random: no link, and no step with a row per pair."""
+    rng = random.Random(3)
+    same = " ".join(f"w{i}" for i in range(35))
+    handed, real = {}, shingle_join.written
+    for n in (150, 600):
+        texts = [f"{same} {' '.join(f'x{rng.randrange(10**9)}' for _ in range(5))}" for _ in range(n)]
+        counts = []
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(shingle_join, "written", lambda df, label: (
+                out := real(df, label), counts.append(out.count() if label != "sketch-buckets" else 0))[0])
+            got = jaccard_components(documents(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
+        assert all(r.component_id == r.doc_id for r in got) and len(got) == n
+        handed[n] = max(counts)
+    assert handed[600] <= 6 * handed[150]
+
+
+@pytest.mark.parametrize("block, shingles", [(5, 1 << 20), (2048, 200)])
+def test_jaccard_groups_in_small_blocks(spark, monkeypatch, block, shingles):
+    monkeypatch.setattr(shingle_join, "BLOCK", block)
+    monkeypatch.setattr(shingle_join, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    texts = near_copies(4, 3)
+    for _ in range(60):  # a chain of texts, each near its neighbours and none near all
+        base[rng.randrange(60)] = f"y{rng.randrange(10**6)}"
+        texts.append(" ".join(base))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           jaccard_components(documents(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    sizes, groups = brute_jaccard(texts, 80)
+    assert got == {i: (n, g) for i, (n, g) in enumerate(zip(sizes, groups, strict=True))}
+
+
 def test_jaccard_of_edge_rows(spark):
     got = jaccard_components(documents(spark, EDGES)).collect()
     assert len(got) == len(EDGES)
