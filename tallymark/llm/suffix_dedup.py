@@ -250,6 +250,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block
     of_key, of_context = Window.partitionBy("key"), Window.partitionBy("key", "context")
     met = written(
         docs.mapInArrow(found, f"key bigint, context bigint, doc_id {kind}, row bigint, at bigint, again boolean")
+        .repartition("key")  # serves both windows
         .withColumn("first", F.min(F.when(~F.col("again"), F.struct("doc_id", "row", "at"))).over(of_context))
         .withColumn("leads", ~F.col("again") & (F.struct("doc_id", "row", "at") == F.col("first")))
         .withColumn("contexts", F.sum(F.col("leads").cast("int")).over(of_key))
