@@ -3,6 +3,7 @@
 Efraimidis-Spirakis sampling: a document's key is an exponential variate divided by its quality
 weight. Complete epochs of a source come first; for the rest of its budget the documents are
 sorted by key and their sizes prefix-summed until the budget is spent, the last one in part.
+Sources are sorted and summed in ranges of their keys, so none of them, and no key, is one task's.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import WORD, written
+from tallymark.operators.ordered import running_total
 
-BUCKETS = 4096  # ranges of keys in a source, each summed and sorted by itself
 SEED = "mix"
 LEAST_WEIGHT = 0.05
 
@@ -56,13 +57,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-        seed: str = SEED, keep: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+        seed: str = SEED, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken per row; and the columns of `keep`.
 
     size: words of the text (null: 0). Quality weight: the share of distinct words among a
     document's words, `LEAST_WEIGHT` at least. target: of its source. taken: words the mix takes,
     repeats counted; a source's add up to its target, rounded down. Rows with one doc_id draw the
-    same key and are taken in order of size; a null doc_id or source is a value like any other;
+    same key and are taken in order of size; texts of any length count whole; a null doc_id or source is a value like any other;
     empty texts take nothing; an empty table gives no rows. A kept column that is named like one
     of the results gives way to it.
     """
@@ -80,29 +81,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
             F.greatest(F.size(F.array_distinct("words")) / F.greatest(F.size("words"), F.lit(1)),
                        F.lit(LEAST_WEIGHT)).alias("weight"))
         .withColumn("key", -F.log(draw(F.col("doc_id"), seed)) / F.col("weight"))
-        .withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * buckets),
-                                      F.lit(buckets - 1)).cast("int"))
-        .drop("weight"), "mix-rows")
-    sums = rows.groupBy("src", "bucket").agg(F.sum("size").alias("in_bucket"))
-    targets = source_targets(sums.groupBy("src").agg(F.sum("in_bucket").alias("source_size")),
-                             weights, share, most)
-    before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = (
-        sums.withColumn("before_bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
-        .join(targets, "src")
-        .withColumn("epochs", epochs.cast("bigint"))
-        .withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
-        .drop("in_bucket")
-    )
-    inside = (Window.partitionBy("src", "bucket").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.col("before_bucket") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    part = F.greatest(F.least(F.col("rest") - ahead, F.col("size")), F.lit(0))
-    return rows.join(plan, ["src", "bucket"]).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + part).cast("bigint").alias("taken"),
-        *[F.col(f"row.`{c}`").alias(c) for c in keep])
+        .withColumn("place", F.monotonically_increasing_id()).drop("weight"), "mix-rows")
+    targets = source_targets(rows.groupBy("src").agg(F.sum("size").alias("source_size")), weights, share, most)
+    # sorted and summed without what is kept of the rows
+    order = [F.col(c) for c in ("key", "doc_id", "size", "place")]
+    summed = running_total(rows.select("src", "key", "doc_id", "size", "place"), ["src"], order, F.col("size"), "upto")
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
+    rest = F.floor("target") - epochs * F.col("source_size")
+    part = F.greatest(F.least(rest - (F.col("upto") - F.col("size")), F.col("size")), F.lit(0))
+    mixed = summed.join(targets, "src").select(
+        "doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken"), "place")
+    if not keep:
+        return mixed.drop("place")
+    return mixed.join(rows.select("place", "row"), "place").select(
+        *mixed.drop("place").columns, *[F.col(f"row.`{c}`").alias(c) for c in keep])
 
 
 def copies(mixed: DataFrame) -> DataFrame:
