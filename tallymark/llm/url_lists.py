@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SPAN = 30 * 86_400  # seconds of the periods that intervals and captures are joined by
+from tallymark.operators.joins import null_safe_join
+from tallymark.operators.moving import carried
+
 LAST = 2**62
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)"
@@ -53,41 +55,36 @@ def intervals(events: DataFrame) -> DataFrame:
     )
 
 
-def url_filter(captures: DataFrame, events: DataFrame, span: int = SPAN) -> DataFrame:
+def url_filter(captures: DataFrame, events: DataFrame) -> DataFrame:
     """(page_id, fetched_at, copies, n_active, entry, blocked) of every capture.
 
     captures: page_id, url, fetched_at (seconds). events: see `intervals`; list is block or allow.
     blocked: the longest active entry that covers the URL is on a block list (if it is on both, it
     blocks). A capture without host, url or time is covered by nothing and passes. Repeated rows
     are one capture with their number in `copies`; other columns are not read; without events
-    everything passes.
+    everything passes. Times may be any whole numbers; URLs of any length are taken whole.
     """
-    first = F.floor(F.col("since") / span)
-    horizon = captures.agg(F.max("fetched_at").cast("bigint")).first()[0]  # no later period is asked for
-    horizon = -LAST if horizon is None else horizon
-    final = F.floor((F.least(F.col("until"), F.lit(horizon + 1)) - 1) / span)
-    active = (
-        intervals(events).where(F.col("since") <= horizon)
-        .withColumn("period", F.explode(F.sequence(first, F.greatest(first, final))))
-        .select("entry", "list", "since", "until", "period")
-    )
-    asked = (
-        captures.groupBy("page_id", "url", F.col("fetched_at").cast("bigint").alias("fetched_at"))
-        .agg(F.count("*").alias("copies"))
-        .withColumn("entry", F.explode_outer(entries_covering(F.col("url"))))
-        .withColumn("period", F.floor(F.col("fetched_at") / span))
-    )
-    met = asked.alias("c").join(
-        active.alias("a"), (F.col("c.entry") == F.col("a.entry")) & (F.col("c.period") == F.col("a.period"))
-        & (F.col("c.fetched_at") >= F.col("a.since")) & (F.col("c.fetched_at") < F.col("a.until")), "left")
-    best = F.max(F.when(F.col("a.entry").isNotNull(), F.struct(
-        F.length("a.entry").alias("size"), (F.col("list") == "block").alias("block"), F.col("a.entry").alias("entry"))))
-    return (
-        met.groupBy("page_id", "url", "fetched_at")
-        .agg(F.max("copies").alias("copies"), F.count("a.entry").alias("n_active"), best.alias("best"))
-        .select("page_id", "fetched_at", "copies", "n_active", F.col("best.entry").alias("entry"),
-                F.coalesce("best.block", F.lit(False)).alias("blocked"))
+    active = intervals(events)
+    asked = captures.groupBy("page_id", "url", F.col("fetched_at").cast("bigint").alias("fetched_at")).agg(
+        F.count("*").alias("copies"))
+    # only entries that some list has ever had are looked up
+    probes = (
+        asked.where("fetched_at is not null")
+        .select("page_id", "url", "fetched_at", F.explode(entries_covering(F.col("url"))).alias("entry"))
+        .join(active.select("entry", "list").distinct(), "entry")
     )
+    # as-of join: intervals and captures of an entry in the order of time, an interval first among equals;
+    # the end of the last interval that has begun is carried to the captures
+    both = active.withColumnRenamed("since", "at").withColumn("asks", F.lit(False)).unionByName(
+        probes.withColumnRenamed("fetched_at", "at").withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    order = [F.col(c) for c in ("at", "asks", "page_id", "url")]
+    met = carried(both, ["entry", "list"], order, F.col("until"), "last", "ends").where("asks and at < ends")
+    best = F.max(F.struct(F.length("entry").alias("size"), (F.col("list") == "block").alias("block"), "entry"))
+    hits = met.groupBy("page_id", "url", F.col("at").alias("fetched_at")).agg(
+        F.count("*").alias("n_active"), best.alias("best"))
+    return null_safe_join(asked, hits, ["page_id", "url", "fetched_at"], "left").select(
+        "page_id", "fetched_at", "copies", F.coalesce("n_active", F.lit(0)).cast("bigint").alias("n_active"),
+        F.col("best.entry").alias("entry"), F.coalesce("best.block", F.lit(False)).alias("blocked"))
 
 
 # The pages have no fetch times and no lists come with them: both derive from the URLs.

@@ -122,9 +122,8 @@ def test_urls_as_of_the_fetch(spark):
         (11, "http://notbad.com/", 150, False), (None, "http://bad.com/a", 150, True)]
     captures = spark.createDataFrame([(i, u, t, "e") for i, u, t, _ in [*asked, asked[1]]],
                                      "page_id long, url string, fetched_at long, entry string")
-    for span in (1000, 10**7):
-        got = {r.page_id: (r.copies, r.blocked) for r in url_filter(captures, events, span=span).collect()}
-        assert got == {i: (2 if i == 2 else 1, b) for i, _, _, b in asked}
+    got = {r.page_id: (r.copies, r.blocked) for r in url_filter(captures, events).collect()}
+    assert got == {i: (2 if i == 2 else 1, b) for i, _, _, b in asked}
     assert url_filter(captures.limit(0), events).count() == 0
     assert not url_filter(captures, events.limit(0)).where("blocked").count()
 
@@ -132,3 +131,40 @@ def test_urls_as_of_the_fetch(spark):
 def test_empty_tables(spark):
     empty = documents(spark, [])
     assert line_dedup(empty).count() == 0 and mix(empty).count() == 0
+
+
+def test_list_entries_and_captures_of_any_time(spark):
+    """Seconds, milliseconds, microseconds and times before 1970 in one table, against plain loops."""
+    times = [-10**15, -5, 0, 100, 10**9, 10**12, 10**15, 2**61]
+    long_url = "http://a.com/" + "x/" * 300 + "y" * 50_000
+    urls = ["http://a.com/p/q", "https://www.b.a.com/", "http://c.org", "none", None, long_url]
+    captures = [(i, u, t) for i, (u, t) in enumerate((u, t) for u in urls for t in [*times, None])]
+    events = [("a.com", "block", "add", 0), ("a.com", "block", "remove", 10**12), ("a.com", "block", "add", 10**15),
+              ("b.a.com", "allow", "add", -10**15), ("c.org", "block", "add", 10**12), ("c.org", "block", "remove", 10**12),
+              ("a.com/p", "allow", "add", 100), ("a.com/x", "block", "add", -5), ("a.com", "block", "add", 5)]
+    got = {r.page_id: r for r in url_filter(
+        spark.createDataFrame(captures, "page_id int, url string, fetched_at bigint"),
+        spark.createDataFrame(events, "entry string, list string, action string, at bigint")).collect()}
+    assert len(got) == len(captures)
+    for i, url, t in captures:
+        active = set()
+        for entry, name, action, at in sorted(events, key=lambda e: (e[3], e[2])):
+            if t is not None and at <= t:
+                (active.add if action == "add" else active.discard)((entry, name))
+        bare = (url or "").split("://")[-1].removeprefix("www.")
+        host = bare.split("/")[0]
+        hits = [(len(e), name == "block", e) for e, name in active if "." in bare and (
+            host == e or host.endswith("." + e) or ("/" in e and (bare + "/").startswith(e + "/")))]
+        best = max(hits, default=None)
+        assert (got[i].n_active, got[i].entry, got[i].blocked) == (
+            len(hits), best and best[2], bool(best and best[1])), (url, t)
+
+
+def test_a_hot_source_is_mixed_in_many_ranges(spark):
+    """Texts of one word repeated have the least weight: their keys used to share one bucket."""
+    docs = documents(spark, [(i, "word " * (1 + i % 50), "a") for i in range(2000)] + [(5000, "x y", "b")])
+    rows = mix(docs).collect()
+    size = sum(1 + i % 50 for i in range(2000))
+    hot = [r for r in rows if r.doc_id < 5000]
+    assert len(rows) == 2001 and abs(sum(r.taken for r in hot) - hot[0].target) < 1
+    assert hot[0].source_size == size and all(r.taken <= 2 * r.size for r in rows)
