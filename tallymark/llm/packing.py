@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymark.llm.common import written
+from tallymark.llm.common import forget_others, written
 from tallymark.llm.token_counts import byte_symbols, unassigned
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -62,6 +62,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
+        forget_others()
         tokens = byte_tokenizer(path)
         for batch in batches:
             rows: list[tuple] = []
@@ -118,7 +119,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, max_docs: int | None = None,
          score: str = "norm", group_rows: int = 4096) -> DataFrame:
     """`pieces` with sequence_id and offset.
 
-    Pieces are dealt by a hash of (doc_id, piece) to groups of about `group_rows`, and each group
+    Pieces are dealt by a hash to groups of about `group_rows`, alike ones too, and each group
     is packed by itself: a group leaves about one sequence partly filled, one in a thousand. All
     rows are packed whatever their number. Limits left out do not bind.
     """
@@ -139,7 +140,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, max_docs: int | None = None,
         frame["offset"] = frame.groupby(bins)["length"].cumsum() - frame["length"]
         return frame.drop(columns="bucket")
 
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+    # with a row's place in the table, so that rows that are alike don't meet in one group
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return (pieces.withColumn("bucket", bucket).groupBy("bucket")
             .applyInPandas(packed, f"{schema}, sequence_id bigint, offset bigint"))

@@ -72,3 +72,12 @@ def test_every_limit_binds():
 def test_empty_table(spark):
     assert token_counts(documents(spark, []), WORDS).count() == 0
     assert best_fit_packing(documents(spark, []), BYTES).count() == 0
+
+
+def test_alike_pieces_are_dealt_to_many_groups(spark):
+    docs = spark.createDataFrame([(None, "")] * 3000 + [(1, "one two")] * 1000, "doc_id long, text string")
+    got = best_fit_packing(docs, BYTES, group_rows=200).collect()
+    groups = defaultdict(int)
+    for r in got:
+        groups[r.sequence_id // 2**32] += 1
+    assert len(got) == 4000 and max(groups.values()) < 400
