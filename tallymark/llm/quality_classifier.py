@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import CACHE, written
+from tallymark.llm.common import CACHE, forget_others, remembered, written
 
 DIMENSIONS = 1 << 18
 TRAIN_ROWS = 12_000  # labelled rows that the fit takes, chosen by a hash of doc_id
@@ -50,7 +50,7 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
+_WORDS = remembered(_Words())
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -152,7 +152,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> Model:
     """A model of the labelled rows that are not held out, `rows` of them at most.
 
-    Null labels, ids and labels without a document are left out. Without rows of both classes
+    Null labels, ids and labels without a document are left out; of several texts with one id the
+    least is taken. Without rows of both classes
     every score is the share of good rows (one half without any).
     """
     spark = docs.sparkSession
@@ -166,13 +167,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     def on(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([zlib.crc32(str(d).encode()) % PARTS for d in batch.column(0).to_pylist()], pa.int32()),
+                # not by the bits that hold rows out
+                [pa.array([(zlib.crc32(str(d).encode()) >> 2) % PARTS for d in batch.column(0).to_pylist()], pa.int32()),
                  batch.column(2),
                  pa.array([features(t).astype("<i4").tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                 names=["part", "label", "places"])
 
     train = written(
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` rows
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` ids
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
         .mapInArrow(on, "part int, label int, places binary"), "classifier-rows")
 
     def counted(batches):
@@ -230,6 +233,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
+        forget_others(_WORDS)
         for batch in batches:
             values = [shared.value.score(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())],

@@ -7,6 +7,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallymark.llm import quality_classifier
 from tallymark.llm.common import WORDS
 from tallymark.llm.quality_classifier import classify, descend, features, scaled
 from tallymark.llm.quality_rules import agreed, measures, quality_rules
@@ -44,6 +45,36 @@ def test_scores_of_edge_rows(spark):
     assert classify(spark, docs.limit(0), labels).count() == 0
 
 
+def test_a_repeated_id_is_one_training_row_and_every_part_has_some(spark, monkeypatch):
+    seen = []
+    real = quality_classifier.written
+    monkeypatch.setattr(quality_classifier, "written", lambda df, label: seen.append(real(df, label)) or seen[-1])
+    docs = spark.createDataFrame([(i % 200, f"text {i} of words {i % 7}") for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] * 3, "doc_id long, quality int")
+    quality_classifier.fit(docs, labels, rows=60)
+    parts = {r.part: r["count"] for r in seen[0].groupBy("part").count().collect()}
+    assert sum(parts.values()) == 60 and sorted(parts) == list(range(quality_classifier.PARTS))
+
+
+def test_descent_reaches_the_optimum_of_the_dual():
+    """Against projected gradient steps on the same dual, taken until nothing moves."""
+    rng = np.random.default_rng(5)
+    ratios = rng.standard_normal(20)
+    rows = [np.unique(rng.integers(0, 20, 6)) for _ in range(40)]
+    signs = np.where(rng.random(40) < 0.5, 1.0, -1.0)
+    x = np.zeros((40, 21))
+    for i, on in enumerate(rows):
+        x[i, on], x[i, -1] = scaled(ratios, on), 1
+    q = (x * signs[:, None]) @ (x * signs[:, None]).T
+    alpha = np.zeros(40)
+    for _ in range(200_000):
+        alpha = np.clip(alpha - (q @ alpha - 1) / 60, 0, 1)
+    best = alpha @ q @ alpha / 2 - alpha.sum()
+    weights = descend(rows, signs, ratios, cost=1.0, epochs=2000)
+    primal = weights @ weights / 2 + np.maximum(0, 1 - signs * (x @ weights)).sum()
+    assert abs(primal + best) < 1e-2  # no gap between the two problems
+
+
 def test_descent_separates_what_can_be_separated():
     rng = np.random.default_rng(1)
     ratios = rng.standard_normal(50)
