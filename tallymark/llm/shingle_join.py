@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import written
+from tallymark.llm.common import forget_others, remembered, written
 from tallymark.llm.components import components
 
 WIDTH = 5
@@ -49,7 +49,7 @@ class _WordHashes(dict):
         return value
 
 
-_HASHES = _WordHashes()
+_HASHES = remembered(_WordHashes())
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -149,6 +149,7 @@ def _sketched(docs: DataFrame, bands: Bands, cells: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
+        forget_others(_HASHES)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -347,6 +348,7 @@ def _linked_in_blocks(buckets: DataFrame, groups: DataFrame, nodes: DataFrame, s
                                                                  pa.binary()))], names=[c.split()[0] for c in schema.split(", ")])
 
     def verified(batches):
+        forget_others()
         for rows in _by_block(batches):
             block = _Block(rows, percent)
             if not block.left:

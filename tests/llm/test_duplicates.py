@@ -245,3 +245,26 @@ def test_recall_of_the_production_parameters():
     y = 0.98 * x + np.sqrt(1 - 0.98**2) * aside
     found = (signatures(x, TABLES, BITS) == signatures(y, TABLES, BITS)).any(axis=1)
     assert found.mean() > 0.97
+
+
+def test_vectors_with_the_parameters_of_the_query(spark):
+    """Planted neighbours on both sides of 0.98 at the default tables and bits, against all pairs."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((40, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = []
+    for i in range(1200):
+        v = base[i % 40] + rng.standard_normal(48) * rng.choice([0.005, 0.015, 0.02, 0.03])
+        rows.append((i, i % 3, [float(x) for x in v]))
+    unit = np.array([r[2] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([r[1] for r in rows])
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r for r in embedding_components(
+        spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")).collect()}
+    found = sum(r.n_links for r in got.values())
+    assert near.sum() > 2000 and 0.9 * near.sum() <= found <= near.sum()
+    assert all(got[i].n_links <= n for i, n in enumerate(near.sum(axis=1).tolist()))
+    whole = least_reachable(1200, [tuple(p) for p in np.argwhere(near).tolist()])
+    assert np.mean([got[i].component_id == g for i, g in enumerate(whole)]) > 0.97
