@@ -40,6 +40,14 @@ def common_prefix(value: str | Column) -> Column:
     """
     low, high = F.min(value), F.max(value)
     short = F.least(F.length(low), F.length(high))
-    lengths = F.sequence(F.lit(0), short)
-    equal = F.filter(lengths, lambda n: F.substr(low, F.lit(1), n) == F.substr(high, F.lit(1), n))
-    return F.coalesce(F.substr(low, F.lit(1), F.array_max(equal)), F.lit(""))
+    halvings = F.sequence(F.lit(1), F.ceil(F.log2(short + 1)).cast("int") + 1)
+
+    def halve(range_: Column, _: Column) -> Column:
+        """The common start has at least `a` characters and at most `b`."""
+        middle = F.ceil((range_["a"] + range_["b"]) / 2).cast("int")
+        same = F.substr(low, F.lit(1), middle) == F.substr(high, F.lit(1), middle)
+        return F.struct(F.when(same, middle).otherwise(range_["a"]).alias("a"),
+                        F.when(same, range_["b"]).otherwise(F.greatest(middle - 1, range_["a"])).alias("b"))
+
+    known = F.struct(F.lit(0).alias("a"), short.alias("b"))
+    return F.coalesce(F.substr(low, F.lit(1), F.aggregate(halvings, known, halve)["a"]), F.lit(""))

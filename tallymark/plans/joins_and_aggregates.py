@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import calendar
 from tallymark.functions.money import cents, money, share, sum_money
-from tallymark.operators.frames import describe
+from tallymark.operators.frames import describe, describe_frame
 from tallymark.operators.joins import densify, earliest_pair_with_sum
 from tallymark.operators.moving import nearest_value
 from tallymark.operators.lists import comma_lists, common_prefix, list_chunks
@@ -138,18 +138,15 @@ def c08(spark: SparkSession, sf: str) -> DataFrame:
 
 
 INDEXED_SQL = """
-WITH a AS (SELECT o_custkey AS key, count(*) AS orders FROM orders
-           WHERE o_totalprice > 250000 AND o_orderstatus = 'F' GROUP BY 1),
-     b AS (SELECT c_custkey AS key, c_name AS name FROM customer WHERE c_acctbal > 2000)
-SELECT key, orders, name FROM a {how} JOIN b USING (key)"""
+WITH a AS (SELECT user_id AS key, count(*) AS visits FROM events GROUP BY 1),
+     b AS (SELECT c_custkey AS key, c_name AS name FROM customer)
+SELECT key, visits, name FROM a {how} JOIN b USING (key)"""
 
 
 def indexed_join(spark: SparkSession, sf: str, how: str) -> DataFrame:
-    a = table(spark, sf, "orders").filter(
-        (F.col("o_totalprice") > 250000) & (F.col("o_orderstatus") == "F")
-    ).groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("orders"))
-    b = table(spark, sf, "customer").filter(F.col("c_acctbal") > 2000).select(
-        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    """Visitors and customers by number: one visitor is no customer, and most customers never came."""
+    a = table(spark, sf, "events").groupBy(F.col("user_id").alias("key")).agg(F.count(F.lit(1)).alias("visits"))
+    b = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
     return a.join(b, "key", how)
 
 
@@ -385,6 +382,20 @@ def d12b(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("median", F.round("median", 4))
 
 
+FRAME = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey")
+
+
+@query("d12c_describe_frame", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+  CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
+  round(quantile_cont({c}, 0.75), 4) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in FRAME))
+def d12c(spark: SparkSession, sf: str) -> DataFrame:
+    """Numeric columns of the lines described together, in a few scans and without a sort."""
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = describe_frame(table(spark, sf, "lineitem"), FRAME, quartiles)
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "std", *quartiles)})
+
+
 @query("d13_column_max", """
 SELECT max(l_quantity) AS l_quantity, max(l_extendedprice) AS l_extendedprice, max(l_discount) AS l_discount,
        max(l_tax) AS l_tax, max(l_returnflag) AS l_returnflag, max(l_shipdate) AS l_shipdate FROM lineitem""")
@@ -449,12 +460,12 @@ def d17(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("d18_merge_sum_maps", """
 SELECT key, sum(v) AS v FROM (
-  SELECT l_partkey AS key, CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1
-  UNION ALL SELECT p_partkey, p_size FROM part WHERE p_type = 'SMALL') GROUP BY key""")
+  SELECT l_partkey AS key, CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem GROUP BY 1
+  UNION ALL SELECT p_partkey, p_size FROM part) GROUP BY key""")
 def d18(spark: SparkSession, sf: str) -> DataFrame:
-    first = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "A").groupBy(
+    first = table(spark, sf, "lineitem").groupBy(
         F.col("l_partkey").alias("key")).agg(F.sum("l_quantity").cast("bigint").alias("v"))
-    second = table(spark, sf, "part").filter(F.col("p_type") == "SMALL").select(
+    second = table(spark, sf, "part").select(
         F.col("p_partkey").alias("key"), F.col("p_size").cast("bigint").alias("v"))
     return merge_sum([first, second])
 

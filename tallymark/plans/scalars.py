@@ -10,6 +10,8 @@ from tallymark.functions.money import cents, money, percent_text
 from tallymark.functions.numbers import division_report, unit_price
 from tallymark.functions.text import (
     ascii_words, brackets_balance, combinations, find_substring, title_case, words)
+from tallymark.operators.aggregates import aggregate_by
+from tallymark.operators.joins import null_safe_join
 from tallymark.operators.lists import comma_lists
 from tallymark.plans.registry import query
 from tallymark.sources.tables import table
@@ -387,13 +389,76 @@ def o03(spark: SparkSession, sf: str) -> DataFrame:
     return comma_lists(pairs, ["l_suppkey"], [F.col("l_partkey")], "l_partkey", "parts", 100)
 
 
+MODULUS = 1_000_000_007
+
+
+def with_place(places: list, *place) -> list:
+    places.append(place)
+    return places
+
+
+@query("o03b_own_aggregate", f"""
+SELECT l_returnflag, l_suppkey, string_agg(CAST(l_linenumber AS VARCHAR), '' ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey)
+  AS numbers, list_reduce(list(CAST(l_quantity AS BIGINT)), lambda a, b: (a * b) % {MODULUS}) AS product
+FROM lineitem GROUP BY 1, 2""")
+def o03b(spark: SparkSession, sf: str) -> DataFrame:
+    """Two aggregates given as functions: a concatenation in the order of dates, and a product."""
+    lines = table(spark, sf, "lineitem")
+    numbers = aggregate_by(
+        lines, ["l_returnflag", "l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
+        start=list, step=with_place,
+        merge=lambda a, b: a + b, finish=lambda state: "".join(str(p[2]) for p in sorted(state)),
+        name="numbers", kind="string")
+    products = aggregate_by(
+        lines.select("l_returnflag", "l_suppkey", F.col("l_quantity").cast("bigint").alias("q")),
+        ["l_returnflag", "l_suppkey"], ["q"], start=lambda: 1, step=lambda state, q: state * q % MODULUS,
+        merge=lambda a, b: a * b % MODULUS, finish=lambda state: state, name="product", kind="bigint")
+    return null_safe_join(numbers, products, ["l_returnflag", "l_suppkey"])
+
+
+@query("o02b_table_function_lateral", """
+SELECT date_trunc('quarter', CAST(l_shipdate AS DATE))::DATE AS quarter, p_type AS film_category,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(28,2)) AS revenue_for_quarter
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2""")
+def o02b(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function of a quarter applied to a table of quarters, in one plan: a join and an aggregate.
+
+    The quarter is compared for equality, which the optimizer turns into an equi-join with the arguments.
+    """
+    table(spark, sf, "lineitem").createOrReplaceTempView("sale_lines")
+    table(spark, sf, "part").createOrReplaceTempView("sale_parts")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION revenue_in_quarter_of(day DATE)
+        RETURNS TABLE (film_category STRING, revenue_for_quarter DECIMAL(28,2))
+        RETURN SELECT p_type, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) * 0.01BD AS DECIMAL(28,2))
+               FROM sale_lines JOIN sale_parts ON p_partkey = l_partkey
+               WHERE trunc(CAST(l_shipdate AS DATE), 'quarter') = trunc(day, 'quarter') GROUP BY p_type""")
+    return spark.sql("""
+        WITH asked AS (SELECT DISTINCT trunc(CAST(l_shipdate AS DATE), 'quarter') AS quarter FROM sale_lines)
+        SELECT quarter, film_category, revenue_for_quarter FROM asked, LATERAL revenue_in_quarter_of(asked.quarter)""")
+
+
+@query("i03b_table_function_lateral", """
+WITH asked AS (SELECT DISTINCT o_orderstatus AS status, o_orderpriority AS priority FROM orders)
+SELECT status, priority, count(*) AS orders, max(o_totalprice) AS highest FROM asked
+JOIN orders ON o_orderstatus = status AND o_orderpriority = priority GROUP BY 1, 2""")
+def i03b(spark: SparkSession, sf: str) -> DataFrame:
+    """A table function of two arguments, called for every row of a table of arguments, in SQL."""
+    return spark.sql("""
+        SELECT status, priority, orders, highest
+        FROM (SELECT DISTINCT o_orderstatus AS status, o_orderpriority AS priority FROM {orders}) asked,
+        LATERAL (SELECT count(*) AS orders, max(o_totalprice) AS highest FROM {orders}
+                 WHERE o_orderstatus = asked.status AND o_orderpriority = asked.priority)""",
+                     orders=table(spark, sf, "orders"))
+
+
 @query("o04_lambda_udf", """
 SELECT p_partkey, p_size * p_size * p_size AS cubed,
        array_to_string(list_transform(regexp_extract_all(lower(p_brand || '-' || p_name), '[a-z]+|[^a-z]+'),
                                       lambda x: upper(x[1]) || x[2:]), '') AS title
 FROM part WHERE p_name LIKE 's%'""")
 def o04(spark: SparkSession, sf: str) -> DataFrame:
-    """Row lambdas are column expressions; only Python's title case needs a pandas UDF."""
+    """Row lambdas are column expressions, title case too."""
     return table(spark, sf, "part").filter(F.col("p_name").startswith("s")).select(
         "p_partkey", (F.col("p_size") * F.col("p_size") * F.col("p_size")).alias("cubed"),
         title_case(F.lower(F.concat_ws("-", "p_brand", "p_name"))).alias("title"))

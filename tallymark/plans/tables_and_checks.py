@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators import maintenance as m
@@ -12,6 +12,7 @@ from tallymark.operators import quality as q
 from tallymark.plans.registry import query
 from tallymark.session import scratch_path
 from tallymark.sources import files
+from tallymark.sources.generate import inline_values
 from tallymark.sources.tables import TABLES, table
 
 # --- j: table maintenance -----------------------------------------------------------------
@@ -103,17 +104,17 @@ SELECT count(*) AS before, count(*) FILTER (WHERE coalesce(CAST(replace(col, 've
   AND n > 2, FALSE)) AS deleted, count(*) FILTER (WHERE NOT coalesce(CAST(replace(col, 'veeeeeeery_long_string', '') AS BIGINT) % 3 = 0
   AND n > 2, FALSE)) AS remaining FROM t""")
 def j04b(spark: SparkSession, sf: str) -> DataFrame:
-    """The counts a delete reports; a condition that is unknown deletes nothing."""
+    """The counts a delete reports, taken by the job that writes; an unknown condition deletes nothing."""
     prefix = "veeeeeeery_long_string"
     texts = table(spark, sf, "lineitem").select(
         F.concat(F.lit(prefix), F.col("l_partkey").cast("string")).alias("col"),
         F.nullif(F.col("l_linenumber"), F.lit(7)).alias("n"))
     number = F.replace("col", F.lit(prefix), F.lit("")).cast("bigint")
-    path = scratch_path(spark, "after-delete")
-    files.write_table(m.delete_where(texts, (number % 3 == 0) & (F.col("n") > 2)), path)
-    before = texts.agg(F.count(F.lit(1))).scalar()
-    return files.read_table(spark, path).agg(F.count(F.lit(1)).alias("remaining")).select(
-        before.alias("before"), (before - F.col("remaining")).alias("deleted"), "remaining")
+    seen, left = Observation("before"), Observation("after")
+    kept = m.delete_where(texts.observe(seen, F.count(F.lit(1)).alias("n")), (number % 3 == 0) & (F.col("n") > 2))
+    files.write_table(kept.observe(left, F.count(F.lit(1)).alias("n")), scratch_path(spark, "after-delete"))
+    before, remaining = seen.get["n"], left.get["n"]
+    return inline_values(spark, [(before, before - remaining, remaining)], "before bigint, deleted bigint, remaining bigint")
 
 
 @query("j05_truncate", "SELECT count(*) AS rows_before, 0 AS rows_after, 3 AS columns_after FROM supplier")
@@ -141,15 +142,16 @@ def j06(spark: SparkSession, sf: str) -> DataFrame:
 @query("j07_add_column_backfill", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, 0 AS null_count FROM {t}" for t in TABLES))
 def j07(spark: SparkSession, sf: str) -> DataFrame:
-    """Every table written with a dated column, and the check that no written row is without it."""
+    """Every table written with a dated column, its rows and missing dates counted by the job that writes."""
     counts = []
     for t in TABLES:
-        path = scratch_path(spark, f"dated-{t}")
-        files.write_table(table(spark, sf, t).withColumn("record_ts", F.lit("2025-01-01").cast("date")), path)
-        counts.append(files.read_table(spark, path).agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("record_ts").isNull()).alias("null_count"),
-        ).select(F.lit(t).alias("table_name"), "n_rows", "null_count"))
-    return reduce(DataFrame.unionByName, counts)
+        dated = table(spark, sf, t).withColumn("record_ts", F.lit("2025-01-01").cast("date"))
+        seen = Observation(t)
+        files.write_table(
+            dated.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("record_ts").isNull()).alias("nulls")),
+            scratch_path(spark, f"dated-{t}"))
+        counts.append((t, seen.get["n"], seen.get["nulls"]))
+    return inline_values(spark, counts, "table_name string, n_rows bigint, null_count bigint")
 
 
 @query("j08_surrogate_key", """
