@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.money import cents
 from tallymark.operators.joins import keep_keys
+from tallymark.sources.stored import stored_table
 from tallymark.sources.tables import table
 
 # The film ratings in the order of increasing age.
@@ -101,6 +102,19 @@ def order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFra
     return orders.join(order_totals(spark, sf, wanted), "order_id")
 
 
+def stored_order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFrame:
+    """`order_sales` on facts stored by order: lines are added up and meet their orders bucket by bucket."""
+    lines = stored_table(spark, sf, "lineitem", "l_orderkey", ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"])
+    orders = stored_table(spark, sf, "orders", "o_orderkey",
+                          ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
+    wanted = orders.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+                           & (F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz")))
+    totals = lines.groupBy("l_orderkey").agg(F.sum(cents("l_extendedprice")).alias("sold_cents"))
+    return wanted.join(totals, wanted.o_orderkey == totals.l_orderkey).select(
+        F.col("o_custkey").alias("cust_id"), F.col("o_orderpriority").alias("channel_desc"),
+        F.to_date("o_orderdate").alias("time_id"), "sold_cents")
+
+
 def product_sales(spark: SparkSession, sf: str, first: str, after: str, prods: DataFrame | None = None,
                   customers: DataFrame | None = None) -> DataFrame:
     """Sale lines with product id: cust_id, channel_desc, time_id, prod_id, sold_cents.

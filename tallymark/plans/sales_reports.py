@@ -15,8 +15,8 @@ from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
 from tallymark.plans.mapping import (
-    ALL_TIME, customer_regions, order_sales, product_sales, products)
-from tallymark.plans.registry import query
+    ALL_TIME, customer_regions, order_sales, product_sales, products, stored_order_sales)
+from tallymark.plans.registry import ORACLES, query
 from tallymark.sources.tables import table
 
 AMOUNT = "CAST(l_extendedprice AS DECIMAL(12,2))"
@@ -240,11 +240,12 @@ def r12b(spark: SparkSession, sf: str) -> DataFrame:
 REGIONS = ["AMERICA", "ASIA", "EUROPE"]
 
 
-def region_year_channel(spark: SparkSession, sf: str) -> DataFrame:
+def region_year_channel(spark: SparkSession, sf: str, sales: DataFrame | None = None) -> DataFrame:
     """One year more than the report shows; regions x years x channels is a small table."""
+    if sales is None:
+        sales = order_sales(spark, sf, "1998-01-01", "2002-01-01")
     per_customer = (
-        order_sales(spark, sf, "1998-01-01", "2002-01-01")
-        .groupBy("cust_id", F.year("time_id").alias("calendar_year"), "channel_desc")
+        sales.groupBy("cust_id", F.year("time_id").alias("calendar_year"), "channel_desc")
         .agg(F.sum("sold_cents").alias("sold_cents"))
     )
     regions = customer_regions(spark, sf).filter(F.col("country_region").isin(REGIONS))
@@ -332,6 +333,13 @@ def r13b(spark: SparkSession, sf: str) -> DataFrame:
     return percent_vs_previous_group(region_year_channel(spark, sf), 1999, 2001)
 
 
+@query("r13c_pct_vs_previous_stored", ORACLES["r13_pct_vs_previous_period"])
+def r13c(spark: SparkSession, sf: str) -> DataFrame:
+    """On facts stored by order: the lines are not shuffled."""
+    sales = stored_order_sales(spark, sf, "1998-01-01", "2002-01-01")
+    return percent_vs_previous(region_year_channel(spark, sf, sales), 1999, 2001)
+
+
 # --- r14: weekly running sum and an average whose frame depends on the weekday ------------
 
 
@@ -395,6 +403,15 @@ def r14(spark: SparkSession, sf: str) -> DataFrame:
     return weekly_centered_average(days, daily, 49, 51)
 
 
+@query("r14b_weekly_stored", ORACLES["r14_weekly_cumsum_centered_avg"])
+def r14b(spark: SparkSession, sf: str) -> DataFrame:
+    """On facts stored by order."""
+    days = calendar(spark, "1999-01-01", "1999-12-31").filter(F.col("calendar_week_number").between(48, 52))
+    daily = stored_order_sales(spark, sf, "1999-11-01", "2000-01-01").groupBy("time_id").agg(
+        F.sum("sold_cents").alias("sold_cents"))
+    return weekly_centered_average(days, daily, 49, 51)
+
+
 # --- r15, r16: ROWS, GROUPS and RANGE side by side ----------------------------------------
 
 

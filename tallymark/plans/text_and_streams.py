@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators import textindex
+from tallymark.operators.indexlog import IndexLog
 from tallymark.operators.ordered import global_row_number
 from tallymark.operators.scores import trainee_scores
 from tallymark.plans.registry import query
@@ -57,6 +58,20 @@ def a13(spark: SparkSession, sf: str) -> DataFrame:
     return with_id_text(saved_index(spark, sf, block=512))
 
 
+@query("l01b_index_of_loads", INDEX_SQL)
+def l01b(spark: SparkSession, sf: str) -> DataFrame:
+    """The index grown load by load: even ids with other texts, their deletion, the odd ids, the even ones."""
+    docs = documents(spark, sf)
+    even, odd = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 <> 0")
+    log = IndexLog(spark, scratch_path(spark, "index-log"), 512)
+    log.add(even.withColumn("text", F.concat_ws(" ", "text", F.lit("draft"))))
+    log.add(odd)
+    log.delete(even.filter("doc_id % 4 = 0").select("doc_id"))
+    log.merge()
+    log.add(even)
+    return with_id_text(log.index())
+
+
 @query("l02_query_all_words", f"""
 WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), q AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark)
 SELECT item_id AS query_id, doc_id FROM d, q WHERE len(q.w) > 0 AND list_has_all(d.w, q.w)""")
