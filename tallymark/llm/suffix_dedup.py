@@ -129,6 +129,38 @@ class BlindTrie:
         return order, shared
 
 
+def multikey_quicksort(words: np.ndarray, order: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of `words` sorted within segments, one word (eight bytes) at a time.
+
+    order: the rows, segment by segment; begins: the places at which one begins. Each round splits all open
+    segments in three by the word at their depth: below, like and above that of their middle row; the
+    middle part goes one word deeper. Returns the order, and where rows begin that are alike in all words.
+    """
+    order, begins, n = order.copy(), begins.copy(), len(order)
+    depth = np.zeros(n, np.int64)  # of the segment that a place is in
+    while True:
+        first = np.flatnonzero(begins)
+        size = np.diff(np.r_[first, n])
+        split = (size > 1) & (depth[first] < words.shape[1])
+        first, size = first[split], size[split]
+        if not len(first):
+            return order, begins
+        segment = np.repeat(np.arange(len(first)), size)
+        place = np.arange(len(segment)) + np.repeat(first - (np.cumsum(size) - size), size)
+        row, at = order[place], depth[place]
+        key, pivot = words[row, at], words[order[first + size // 2], depth[first]][segment]
+        side = (key >= pivot).astype(np.int64) + (key > pivot)
+        parts = np.bincount(segment * 3 + side, minlength=3 * len(first)).reshape(-1, 3)
+        begin = first[:, None] + np.cumsum(parts, axis=1) - parts
+        target = np.empty(len(place), np.int64)
+        for s in range(3):
+            mine = np.flatnonzero(side == s)
+            ahead = np.cumsum(parts[:, s]) - parts[:, s]  # rows of this side in the segments before
+            target[mine] = begin[segment[mine], s] + np.arange(len(mine)) - ahead[segment[mine]]
+            begins[begin[parts[:, s] > 0, s]] = True
+        order[target], depth[target] = row, at + (side == 1)
+
+
 def deep_shallow(group: np.ndarray, texts: list[bytes], shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of (group, text), and the common prefix of each with the one before it.
 
@@ -138,20 +170,8 @@ def deep_shallow(group: np.ndarray, texts: list[bytes], shallow: int = SHALLOW)
     head = np.frombuffer(b"".join(t[:shallow].ljust(shallow, b"\0") for t in texts), np.uint8).reshape(n, shallow)
     words = head.view(">u8").astype(np.uint64)
     sizes = np.array([len(t) for t in texts])
-    start = np.argsort(group, kind="stable")
-    new = np.r_[True, group[start][1:] != group[start][:-1]]
-    rank = np.empty(n, np.int64)  # where the bucket of each text begins
-    rank[start] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    for j in range(words.shape[1]):
-        many = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
-        if not len(many):
-            break
-        o = many[np.lexsort((words[many, j], rank[many]))]
-        r, w, at = rank[o], words[o, j], np.arange(len(o))
-        bucket = np.r_[True, r[1:] != r[:-1]]
-        run = bucket | np.r_[True, w[1:] != w[:-1]]
-        rank[o] = r + np.maximum.accumulate(np.where(run, at, 0)) - np.maximum.accumulate(np.where(bucket, at, 0))
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(group, kind="stable")
+    order, begins = multikey_quicksort(words, order, np.r_[True, group[order][1:] != group[order][:-1]])
     shared = np.full(n, -1, np.int64)
     same = np.flatnonzero(group[order][1:] == group[order][:-1]) + 1
     a, b = order[same - 1], order[same]
@@ -159,8 +179,7 @@ def deep_shallow(group: np.ndarray, texts: list[bytes], shallow: int = SHALLOW)
     first = np.where(equal.all(axis=1), shallow, equal.argmin(axis=1))
     shared[same] = np.minimum(first, np.minimum(sizes[a], sizes[b]))
     # what the shallow sort left together
-    ranks = rank[order]
-    edge = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1], True])
+    edge = np.flatnonzero(np.r_[begins, True])
     for low, high in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         if high - low > 1:
             trie = BlindTrie(texts)

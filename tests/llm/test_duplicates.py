@@ -13,7 +13,7 @@ from tallymark.llm.common import WORDS
 from tallymark.llm.components import components
 from tallymark.llm.embedding_dedup import embedding_components
 from tallymark.llm.shingle_join import Bands, bit_sketch, cell_keys, jaccard_components, narrowed
-from tallymark.llm.suffix_dedup import anchors, deep_shallow, suffix_dedup
+from tallymark.llm.suffix_dedup import anchors, deep_shallow, multikey_quicksort, suffix_dedup
 from tests.llm.helpers import EDGES, documents
 
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -193,6 +193,17 @@ def test_deep_shallow_sorting(rows, shallow):
         assert shared[n + 1] == (same if group[i] == group[j] else -1)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=60))
+def test_multikey_quicksort(rows):
+    group, words = np.array([r[0] for r in rows]), np.array([r[1:] for r in rows], dtype=np.uint64)
+    start = np.argsort(group, kind="stable")
+    order, begins = multikey_quicksort(words, start, np.r_[True, np.diff(group[start]) != 0])
+    keys = [rows[i] for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(len(rows)))
+    assert begins.tolist() == [n == 0 or a != b for n, (a, b) in enumerate(zip(keys, [None, *keys]))]
+
+
 def test_anchors_depend_on_the_window_alone():
     data = random.Random(2).randbytes(500)
     _, place, first, last = anchors(data)

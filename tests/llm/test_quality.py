@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tallymark.llm import quality_classifier
 from tallymark.llm.common import WORDS
 from tallymark.llm.quality_classifier import classify, descend, features, scaled
-from tallymark.llm.quality_rules import agreed, measures, quality_rules
+from tallymark.llm.quality_rules import PRIOR, RIGHT, ROUNDS, agreed, measures, quality_rules, rules
 from tests.llm.helpers import EDGES, documents
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -121,6 +121,34 @@ def test_estimate_finds_accurate_rules():
     assert (kept == good).mean() > 0.94
 
 
+def test_the_verdict_is_that_of_a_plain_estimate_over_all_rows(spark):
+    """The same model estimated row by row, without patterns: equal posteriors and verdicts."""
+    names = list(rules())
+    got = quality_rules(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    votes = np.array([[r[n] for n in names] for r in got])
+    share, right = PRIOR, {0: np.full(len(names), RIGHT[0]), 1: np.full(len(names), RIGHT[1])}
+    p = np.full(len(got), share)
+    for _ in range(ROUNDS):
+        last = p.copy()
+        for i, v in enumerate(votes):
+            good, bad = share, 1 - share
+            for j, vote in enumerate(v):
+                if vote:
+                    good *= right[1][j] if vote > 0 else 1 - right[1][j]
+                    bad *= right[0][j] if vote < 0 else 1 - right[0][j]
+            p[i] = good / (good + bad)
+        share = (p.sum() + 1) / (len(p) + 2)
+        for kind, weight, sign in ((0, 1 - p, -1), (1, p, 1)):
+            for j in range(len(names)):
+                heard = weight[votes[:, j] != 0].sum()
+                right[kind][j] = (weight[votes[:, j] == sign].sum() + 4 * RIGHT[kind]) / (heard + 4)
+        right[0] = np.maximum(right[0], 1 - right[1])
+        if np.abs(p - last).max() < 1e-9:
+            break
+    assert np.allclose(p, [r.p_good for r in got], atol=1e-6)
+    assert [r.kept for r in got] == [bool(x >= 0.5 and not r.base_failed) for x, r in zip(p, got)]
+
+
 def test_rules_on_edge_rows(spark):
     rows = quality_rules(documents(spark, EDGES)).collect()
     assert len(rows) == len(EDGES)
