@@ -469,6 +469,9 @@ def r16(spark: SparkSession, sf: str) -> DataFrame:
     return frame_modes_by_date(days, sales)
 
 
+SALES_CHUNK = 4096
+
+
 def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
     """Every sale of every day, days without sales as 0, with three running sums.
 
@@ -485,7 +488,12 @@ def frame_modes_by_date(days: DataFrame, sales: DataFrame) -> DataFrame:
     # Equal amounts of a day are one row with their number until the sums are done.
     sums = running_total(facts.unionByName(put_in), [], [F.col("d_time"), F.col("amount"), F.col("_sale")],
                          F.col("amount") * F.col("_n"), "_to_here")
-    rows = sums.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select(
+    # equal sales become rows again chunk by chunk, and chunks are dealt out: no array, and no task, holds
+    # all sales of one amount
+    chunks = sums.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(SALES_CHUNK)))).repartition(
+        "d_time", "amount", "_sale", "_from")
+    upto = F.least(F.col("_from") + SALES_CHUNK - 1, F.col("_n"))
+    rows = chunks.withColumn("_i", F.explode(F.sequence(F.col("_from"), upto))).select(
         "d_time", "amount", "_sale",
         (F.col("_to_here") - F.col("amount") * (F.col("_n") - F.col("_i"))).alias("cum_sum_row"))
     per_day = sums.groupBy("d_time").agg(
