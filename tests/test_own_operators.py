@@ -1,6 +1,9 @@
 """Own aggregates, whole-frame descriptions, lateral table functions, bitmaps, observed counts."""
 
+import pathlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -11,7 +14,9 @@ from tallymark.operators.aggregates import aggregate_by
 from tallymark.operators.bitmaps import in_all, numbers_of, to_bitmaps
 from tallymark.operators.frames import describe_frame
 from tallymark.operators.lists import common_prefix
+from tallymark.operators.textindex import top_words
 from tallymark.plans import QUERIES
+from tallymark.sources.files import read_words
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,3 +105,22 @@ def test_counts_come_from_the_write(spark):
     for key in ("j04b_delete_by_expression", "j07_add_column_backfill"):
         plan = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan
+
+
+def test_a_list_of_stop_words_from_a_file(spark, tmp_path):
+    """The words of a file with blanks, capitals and empty lines; of equally frequent words the first seen wins."""
+    (tmp_path / "stop.txt").write_text("The\n  and \n\nOF\n", encoding="utf-8")
+    docs = spark.createDataFrame(
+        [(2, "The cat, and the dog; of cats: CAT"), (1, "dog's day of the cat. Zebra zebra"), (3, None), (4, "the and of")],
+        "doc_id long, text string")
+    found = top_words(docs, read_words(spark, str(tmp_path / "stop.txt")), 4).collect()
+    assert [(r.word, r.n) for r in found] == [("cat", 3), ("dog", 2), ("zebra", 2), ("s", 1)]
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "corpus_pipeline", "tallymark.llm"])
+def test_the_entry_survives_what_is_missing(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = pathlib.Path(__file__).parent.parent
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[0]) == len(QUERIES) == int(done.stdout.split()[1])
