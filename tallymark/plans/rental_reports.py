@@ -355,7 +355,21 @@ def most_popular(rentals: DataFrame, film: DataFrame, countries: Sequence[str] |
     ``rentals(country, film_id, ...)``; the score is the number of rentals unless an
     aggregate is passed. rank() = 1 is pruned on the map side and keeps ties.
     """
-    rentals = rentals.filter(F.col("country").isin(list(countries or [])))
+    return leaders(rentals.filter(F.col("country").isin(list(countries or []))), film, score)
+
+
+def most_popular_in_lists(rentals: DataFrame, film: DataFrame, lists: DataFrame, score: Column | None = None) -> DataFrame:
+    """`most_popular` for a table of country lists, ``lists(list_id, country)``, all in one plan.
+
+    The leaders of a country are the same in every list it is on: they are found once, in one scan of the
+    rentals, and then joined with the lists. A list without a known country has no rows.
+    """
+    asked = lists.select("country").distinct()
+    best = leaders(rentals.join(asked, "country", "left_semi"), film, score)
+    return lists.select("list_id", "country").distinct().join(best, "country")
+
+
+def leaders(rentals: DataFrame, film: DataFrame, score: Column | None) -> DataFrame:
     score = F.count(F.lit(1)) if score is None else score
     totals = rentals.groupBy("country", "film_id").agg(score.alias("_score"))
     w = W.partitionBy("country").orderBy(F.col("_score").desc())
@@ -405,3 +419,29 @@ def r18(spark: SparkSession, sf: str) -> DataFrame:
 def r18b(spark: SparkSession, sf: str) -> DataFrame:
     best = most_popular(country_rentals(spark, sf, R18_COUNTRIES), films(spark, sf), R18_COUNTRIES, F.sum("_cents"))
     return best.withColumn("revenue", money("_score")).drop("_score")
+
+
+@query("r18c_most_popular_in_lists", f"""
+WITH film AS ({FILM_SQL}),
+lists AS (SELECT r_name AS list_id, n_name AS country FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION SELECT 'EVEN', n_name FROM nation WHERE n_nationkey % 2 = 0),
+country_scores AS (
+  SELECT n_name AS country, l_partkey AS film_id, count(*) AS score
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+  JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name, l_partkey)
+SELECT list_id, country, film_id, title AS film, rating, release_year, score AS rentals
+FROM lists JOIN country_scores r USING (country) JOIN film USING (film_id)
+WHERE score = (SELECT max(x.score) FROM country_scores x WHERE x.country = r.country)""")
+def r18c(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists of all regions, and one that overlaps with them, at once."""
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey", F.col("n_name").alias("country"))
+    lists = nation.join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("r_name").alias("list_id"), "country").union(
+        nation.filter("n_nationkey % 2 = 0").select(F.lit("EVEN"), "country"))
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    at_home = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "country")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("film_id"))
+    rentals = lines.join(at_home, lines.l_orderkey == at_home.o_orderkey).select("country", "film_id")
+    return most_popular_in_lists(rentals, films(spark, sf), lists).withColumnRenamed("_score", "rentals")

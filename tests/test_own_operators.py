@@ -16,6 +16,7 @@ from tallymark.operators.frames import describe_frame
 from tallymark.operators.lists import common_prefix
 from tallymark.operators.textindex import top_words
 from tallymark.plans import QUERIES
+from tallymark.plans.rental_reports import most_popular_in_lists
 from tallymark.sources.files import read_words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -124,3 +125,15 @@ def test_the_entry_survives_what_is_missing(missing):
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=120)
     assert done.returncode == 0, done.stderr
     assert int(done.stdout.split()[0]) == len(QUERIES) == int(done.stdout.split()[1])
+
+
+def test_popular_films_of_lists_that_overlap(spark):
+    rentals = spark.createDataFrame(
+        [("A", 1), ("A", 1), ("A", 2), ("B", 2), ("B", 3), ("C", 1)], "country string, film_id int")
+    film = spark.createDataFrame([(i, f"f{i}", "G", 2000) for i in (1, 2, 3)],
+                                 "film_id int, title string, rating string, release_year int")
+    lists = spark.createDataFrame([("x", "A"), ("x", "B"), ("y", "A"), ("y", "A"), ("z", "nowhere"), (None, "C")],
+                                  "list_id string, country string")
+    got = {(r.list_id, r.country, r.film, r._score) for r in most_popular_in_lists(rentals, film, lists).collect()}
+    assert got == {("x", "A", "f1", 2), ("x", "B", "f2", 1), ("x", "B", "f3", 1), ("y", "A", "f1", 2), (None, "C", "f1", 1)}
+    assert most_popular_in_lists(rentals, film, lists.limit(0)).count() == 0
