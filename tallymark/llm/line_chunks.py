@@ -157,10 +157,25 @@ edges AS (
 numbered AS (SELECT *, sum(edge) OVER (PARTITION BY doc_id ORDER BY i) - edge AS no FROM edges),
 chunks AS (
     SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines,
-           count(*) FILTER (WHERE regexp_matches(line, '{WORD}')) >= 2 AS counts, min(i) AS at
+           count(*) FILTER (WHERE regexp_matches(line, '{WORD}')) AS worded
     FROM numbered GROUP BY doc_id, no),
+dealt AS (
+    SELECT *, coalesce(min(CASE WHEN worded >= 2 THEN no END) OVER (
+                           PARTITION BY doc_id ORDER BY no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                       max(CASE WHEN worded >= 2 THEN no END) OVER (PARTITION BY doc_id), 0) AS fold
+    FROM chunks),
+folds AS (
+    SELECT doc_id, min(no) AS no, max(no) AS last, string_agg(chunk, chr(10) ORDER BY no) AS chunk,
+           sum(worded) AS worded
+    FROM dealt GROUP BY doc_id, fold),
+units AS (
+    SELECT doc_id, no, no AS last, chunk FROM chunks WHERE worded >= 2
+    UNION ALL SELECT doc_id, no, last, chunk FROM folds WHERE last > no AND worded >= 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, no) AS nth FROM units),
+gone_chunks AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(no::BIGINT, last::BIGINT)) AS no FROM ranked WHERE nth > 1),
 judged AS (
-    SELECT *, counts AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, no) > 1 AS repeated FROM chunks),
+    SELECT c.*, g.no IS NOT NULL AS repeated FROM chunks c LEFT JOIN gone_chunks g ON g.doc_id = c.doc_id AND g.no = c.no),
 kept AS (
     SELECT doc_id, string_agg(chunk, chr(10) ORDER BY no) FILTER (WHERE NOT repeated) AS kept,
            coalesce(sum(n_lines) FILTER (WHERE repeated), 0) AS gone

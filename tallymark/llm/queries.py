@@ -34,7 +34,7 @@ def op5_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op9_line_dedup", LINE_DEDUP_SQL)
 def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return line_dedup(documents(spark, root)).select("doc_id", "n_removed", "text")
+    return line_dedup(documents(spark, root), fold=True).select("doc_id", "n_removed", "text")
 
 
 @query("op3_mixing", MIXING_SQL)
