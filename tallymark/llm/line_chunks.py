@@ -76,8 +76,12 @@ def folded(chunks: Column, fold: Column) -> Column:
     return F.flatten(F.slice(chunks, fold["first"] + 1, fold["last"] - fold["first"] + 1))
 
 
-def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -> DataFrame:
-    """(doc_id, no, last, key, n_lines) of the chunks to remove; with `fold`, of the folds too."""
+def mark(no: Column, last: Column, key: Column) -> Column:
+    return F.concat_ws(":", no.cast("string"), last.cast("string"), key)
+
+
+def judged_chunks(docs: DataFrame, one_in: int, fold: bool) -> DataFrame:
+    """The columns of `docs` but text, with chunk and mark (places and MD5) of what is judged; with `fold`, folds too."""
 
     def units(chunks: Column) -> Column:
         own = F.transform(chunks, lambda lines, i: F.struct(i.alias("no"), i.alias("last"), lines.alias("lines")))
@@ -87,20 +91,34 @@ def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -
         return F.concat(own, F.transform(several, lambda f: F.struct(
             f["first"].alias("no"), f["last"].alias("last"), folded(chunks, f).alias("lines"))))
 
-    chunks = (
-        docs.where(F.col("text").isNotNull())
-        .select("doc_id", F.inline(let(chunks_of(F.col("text"), one_in), units)))
+    others = [c for c in docs.columns if c != "text"]
+    # no filter on the text here: it would part this use of the rows' shuffle from the other
+    return (
+        docs.select(*others, F.inline(F.when(
+            F.col("text").isNotNull(), let(chunks_of(F.col("text"), one_in), units))))
         .where(counts(F.col("lines")))
-        .select("doc_id", "no", "last", F.size("lines").alias("n_lines"), joined(F.col("lines")).alias("chunk"))
+        .select(*others, "no", "last", joined(F.col("lines")).alias("chunk"))
         .withColumn("key", F.md5("chunk"))
+        .withColumn("mark", mark(F.col("no"), F.col("last"), F.col("key")))
     )
-    often = chunks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    candidates = written(chunks.join(often, "key"), "repeated-chunks")
+
+
+def repeated_chunks(rows: DataFrame, one_in: int, fold: bool) -> DataFrame:
+    """(__row, __drops): per text the marks of its chunks to remove, from (doc_id, text, __row).
+
+    Keys are counted without the chunks. Chunks are cut again from the texts that have a repeated key, and
+    compared; the shuffle that brings these texts their keys is the one that brings all texts their marks.
+    """
+    keys = written(judged_chunks(rows, one_in, fold).select("__row", "key", "mark"), "chunk-keys")
+    often = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    marks = keys.join(often, "key").groupBy("__row").agg(F.collect_set("mark").alias("__marks"))
+    candidates = judged_chunks(rows.join(marks, "__row"), one_in, fold).where(
+        F.array_contains("__marks", F.col("mark"))).select("doc_id", "__row", "no", "key", "chunk", "mark")
     firsts = candidates.groupBy("key", "chunk").agg(F.min(F.struct("doc_id", "no")).alias("first"))
     return (
         candidates.join(firsts, ["key", "chunk"])
         .where(F.struct("doc_id", "no") != F.col("first"))
-        .select("doc_id", "no", "last", "key", "n_lines")
+        .groupBy("__row").agg(F.collect_set("mark").alias("__drops"))
     )
 
 
@@ -115,13 +133,10 @@ def line_dedup(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -> Dat
     stay; a null doc_id is the smallest. All other columns pass through (an n_removed among them
     is replaced); an empty table gives no rows.
     """
-    mark = lambda no, last, key: F.concat_ws(":", no.cast("string"), last.cast("string"), key)
     place = lambda m, k: F.split(m, ":")[k].cast("int")
-    drops = (
-        repeated_chunks(docs.select("doc_id", "text"), one_in, fold).distinct()
-        .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_list(mark(F.col("no"), F.col("last"), F.col("key"))).alias("__drops"))
-    )
+    # marks belong to a text of an id, so that they are no more than its chunks, however often the id comes
+    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    drops = repeated_chunks(rows.select("doc_id", "text", "__row"), one_in, fold)
 
     def left_of(chunks: Column) -> Column:
         marks = F.transform(chunks, lambda c, i: mark(i, i, F.md5(joined(c))))
@@ -135,7 +150,7 @@ def line_dedup(docs: DataFrame, one_in: int = ONE_IN, fold: bool = False) -> Dat
     kept = F.flatten(let(chunks_of(F.col("text"), one_in), left_of))
     columns = [c for c in docs.columns if c != "n_removed"]
     return (
-        docs.select(*columns).join(drops, F.col("doc_id").eqNullSafe(F.col("__doc")), "left")
+        rows.select(*columns, "__row").join(drops, "__row", "left")
         .withColumn("__kept", F.when(F.col("__drops").isNotNull(), kept))
         .select(
             *[F.coalesce(joined(F.col("__kept")), F.col("text")).alias("text") if c == "text" else F.col(c)
