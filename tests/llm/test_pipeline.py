@@ -1,11 +1,23 @@
 """The stages one by one, and the pipeline as a whole."""
 
 import random
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tallymark.llm.common import WORDS, written
 from tallymark.llm.common import documents as table
-from tallymark.llm.common import written
+from tallymark.llm.line_chunks import LINE_DEDUP_SQL
+from tallymark.llm.mixing import MIXING_SQL
+from tallymark.llm.quality_classifier import classify
 from tests.llm.helpers import CLASH, EDGES, documents
+from tests.llm.test_duplicates import brute_jaccard
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -47,3 +59,45 @@ def test_stages_on_edge_rows_and_empty_tables(spark):
                 own = found.select("key", "score", "size", "n_removed", "component_id", "row").distinct().collect()
                 assert {tuple(r) for r in own} <= {CLASH}
             assert (found.count() > 0) == (docs.count() > 0)
+
+
+def by_sql(sql, ids, texts, sources):
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": ids, "text": pa.array(texts, pa.string()), "source": sources}))
+    result = connection.execute(sql)
+    names = [d[0] for d in result.description]
+    return {r["doc_id"]: r for r in (dict(zip(names, row)) for row in result.fetchall())}
+
+
+def test_run_agrees_with_plain_forms_of_its_stages(spark):
+    """All rows of the last stage: SQL for the lines and the mix, all pairs, the tokenizer's library."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs = table(spark, sf_dir)
+    good = classify(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("predicted = 1").collect()
+    source = {r.doc_id: r.source for r in good}
+    columns = lambda texts: (list(texts), list(texts.values()), [source[i] for i in texts])
+    lines = by_sql(LINE_DEDUP_SQL, *columns({r.doc_id: r.text for r in good}))
+    texts = {i: r["text"] for i, r in sorted(lines.items()) if not r["n_removed"] or r["text"]}
+    assert len(source) > len(texts) > 0
+    first = brute_jaccard(list(texts.values()), 80)[1]
+    texts = {i: t for n, (i, t) in enumerate(texts.items()) if first[n] == n}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for i, r in by_sql(MIXING_SQL, *columns(texts)).items():
+        if not r["taken"]:
+            continue
+        whole, rest = divmod(r["taken"], r["size"])
+        parts = [" ".join(WORDS.findall(texts[i])[:rest])] if rest else []
+        for text in [texts[i]] * whole + parts:
+            ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+            cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+            want.update((i, p, a, b - a, zlib.crc32(ids[a:b].tobytes())) for p, (a, b) in enumerate(zip(cuts, cuts[1:])))
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for pieces in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(pieces)]).tolist()
+        assert [at for at, _ in sorted(pieces)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert len(sequences) <= 1.02 * -(-sum(r.length for r in got) // 1024)
