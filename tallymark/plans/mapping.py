@@ -102,19 +102,44 @@ def order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFra
     return orders.join(order_totals(spark, sf, wanted), "order_id")
 
 
-def stored_order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFrame:
-    """`order_sales` on facts stored by order: lines are added up and meet their orders bucket by bucket."""
+def stored_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Sale lines and orders, both stored by order."""
     lines = stored_table(spark, sf, "lineitem", "l_orderkey", ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"])
     orders = stored_table(spark, sf, "orders", "o_orderkey",
                           ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
-    wanted = orders.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
-                           & (F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz")))
+    return lines, orders
+
+
+def stored_orders_between(orders: DataFrame, first: str, after: str) -> DataFrame:
+    return orders.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+                         & (F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz")))
+
+
+def stored_order_sales(spark: SparkSession, sf: str, first: str, after: str) -> DataFrame:
+    """`order_sales` on facts stored by order: lines are added up and meet their orders bucket by bucket."""
+    lines, orders = stored_facts(spark, sf)
+    wanted = stored_orders_between(orders, first, after)
     totals = lines.groupBy("l_orderkey").agg(F.sum(cents("l_extendedprice")).alias("sold_cents"))
     return wanted.join(totals, wanted.o_orderkey == totals.l_orderkey).select(
         F.col("o_custkey").alias("cust_id"), F.col("o_orderpriority").alias("channel_desc"),
         F.to_date("o_orderdate").alias("time_id"), "sold_cents")
 
 
+def stored_product_sales(spark: SparkSession, sf: str, first: str, after: str, customers: DataFrame) -> DataFrame:
+    """`product_sales` of some customers on facts stored by order.
+
+    Orders are restricted first, which moves orders of the period alone; what is left of them is dealt as
+    the lines are stored, and no line moves before it has met its order.
+    """
+    lines, orders = stored_facts(spark, sf)
+    wanted = stored_orders_between(orders, first, after).select(
+        "o_orderkey", F.col("o_custkey").alias("cust_id"), F.col("o_orderpriority").alias("channel_desc"),
+        F.to_date("o_orderdate").alias("time_id")).join(customers, "cust_id", "left_semi")
+    return lines.join(wanted, lines.l_orderkey == wanted.o_orderkey).select(
+        "cust_id", "channel_desc", "time_id", F.col("l_partkey").alias("prod_id"),
+        cents("l_extendedprice").alias("sold_cents"))
+
+
 def product_sales(spark: SparkSession, sf: str, first: str, after: str, prods: DataFrame | None = None,
                   customers: DataFrame | None = None) -> DataFrame:
     """Sale lines with product id: cust_id, channel_desc, time_id, prod_id, sold_cents.

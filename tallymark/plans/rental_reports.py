@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.money import cents, money
 from tallymark.operators.joins import keep_keys, settled
 from tallymark.operators.topk import top_distinct_values
-from tallymark.plans.mapping import FILM_SQL, actors, film_actors, films
+from tallymark.plans.mapping import FILM_SQL, actors, film_actors, films, stored_facts
 from tallymark.plans.registry import query
 from tallymark.sources.tables import table
 
@@ -378,20 +378,32 @@ def leaders(rentals: DataFrame, film: DataFrame, score: Column | None) -> DataFr
         "country", "film_id", F.col("title").alias("film"), "rating", "release_year", "_score")
 
 
-def country_rentals(spark: SparkSession, sf: str, countries: Sequence[str]) -> DataFrame:
-    """Rentals in the countries; orders are restricted before the lines meet them."""
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", F.col("l_partkey").alias("film_id"), cents("l_extendedprice").alias("_cents"))
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+def orders_of_countries(spark: SparkSession, sf: str, orders: DataFrame, countries: Sequence[str]) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country")).filter(
         F.col("country").isin(list(countries)))
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country")
-    wanted = orders.join(customer, orders.o_custkey == customer.c_custkey).select("o_orderkey", "country")
+    return orders.select("o_orderkey", "o_custkey").join(
+        customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "country")
+
+
+def country_rentals(spark: SparkSession, sf: str, countries: Sequence[str]) -> DataFrame:
+    """Rentals in the countries; orders are restricted before the lines meet them."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").alias("film_id"), cents("l_extendedprice").alias("_cents"))
+    wanted = orders_of_countries(spark, sf, table(spark, sf, "orders"), countries)
     lines = keep_keys(lines, "l_orderkey", wanted, "o_orderkey")
     return lines.join(wanted, lines.l_orderkey == wanted.o_orderkey).select("country", "film_id", "_cents")
 
 
+def stored_country_rentals(spark: SparkSession, sf: str, countries: Sequence[str]) -> DataFrame:
+    """`country_rentals` on facts stored by order: orders are dealt as the lines are stored, lines stay."""
+    lines, orders = stored_facts(spark, sf)
+    wanted = orders_of_countries(spark, sf, orders, countries)
+    return lines.join(wanted, lines.l_orderkey == wanted.o_orderkey).select(
+        "country", F.col("l_partkey").alias("film_id"), cents("l_extendedprice").alias("_cents"))
+
+
 def r18_sql(score: str, shown: str) -> str:
     return f"""
 WITH film AS ({FILM_SQL}),
@@ -421,6 +433,14 @@ def r18b(spark: SparkSession, sf: str) -> DataFrame:
     return best.withColumn("revenue", money("_score")).drop("_score")
 
 
+@query("r18d_most_popular_stored", r18_sql(
+    "sum(CAST(l_extendedprice AS DECIMAL(12,2)))", "CAST(score AS DECIMAL(28,2)) AS revenue"))
+def r18d(spark: SparkSession, sf: str) -> DataFrame:
+    """By revenue, on facts stored by order."""
+    best = most_popular(stored_country_rentals(spark, sf, R18_COUNTRIES), films(spark, sf), R18_COUNTRIES, F.sum("_cents"))
+    return best.withColumn("revenue", money("_score")).drop("_score")
+
+
 @query("r18c_most_popular_in_lists", f"""
 WITH film AS ({FILM_SQL}),
 lists AS (SELECT r_name AS list_id, n_name AS country FROM nation JOIN region ON r_regionkey = n_regionkey

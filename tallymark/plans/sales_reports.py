@@ -15,7 +15,8 @@ from tallymark.operators.ordered import running_total
 from tallymark.operators.topk import top_rank
 from tallymark.operators.windows import groups_frame
 from tallymark.plans.mapping import (
-    ALL_TIME, customer_regions, order_sales, product_sales, products, stored_order_sales)
+    ALL_TIME, customer_regions, order_sales, product_sales, products, stored_order_sales,
+    stored_product_sales)
 from tallymark.plans.registry import ORACLES, query
 from tallymark.sources.tables import table
 
@@ -72,12 +73,14 @@ def r09(spark: SparkSession, sf: str) -> DataFrame:
 # --- r10: product x quarter ----------------------------------------------------------------
 
 
-def quarter_report_base(spark: SparkSession, sf: str) -> DataFrame:
+def quarter_report_base(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
     in_region = customer_regions(spark, sf).filter(F.col("country_region") == "ASIA").select("cust_id")
     in_category = products(spark, sf).filter(F.col("prod_category") == "PROMO")
+    year = ("2000-01-01", "2001-01-01")
+    sales = (stored_product_sales(spark, sf, *year, in_region) if stored
+             else product_sales(spark, sf, *year, in_category, in_region))
     return (
-        product_sales(spark, sf, "2000-01-01", "2001-01-01", in_category, in_region)
-        .join(in_category.select("prod_id", "prod_name"), "prod_id")
+        sales.join(in_category.select("prod_id", "prod_name"), "prod_id")
         .withColumn("quarter", F.quarter("time_id"))
     )
 
@@ -96,9 +99,7 @@ SELECT prod_name,
 FROM q GROUP BY prod_name"""
 
 
-@query("r10_quarter_crosstab", R10_SQL)
-def r10(spark: SparkSession, sf: str) -> DataFrame:
-    sales = quarter_report_base(spark, sf)
+def quarter_crosstab(sales: DataFrame) -> DataFrame:
     quarters = [
         money(F.sum(F.when(F.col("quarter") == q, F.col("sold_cents")).otherwise(0))).alias(f"q{q}")
         for q in range(1, 5)
@@ -108,6 +109,17 @@ def r10(spark: SparkSession, sf: str) -> DataFrame:
     ).orderBy(F.col("year_sum").desc(), "prod_name")
 
 
+@query("r10_quarter_crosstab", R10_SQL)
+def r10(spark: SparkSession, sf: str) -> DataFrame:
+    return quarter_crosstab(quarter_report_base(spark, sf))
+
+
+@query("r10c_quarter_crosstab_stored", R10_SQL)
+def r10_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """On facts stored by order: the lines don't move, however many orders are wanted."""
+    return quarter_crosstab(quarter_report_base(spark, sf, stored=True))
+
+
 @query("r10_quarter_crosstab_pivot", R10_SQL)
 def r10_pivot(spark: SparkSession, sf: str) -> DataFrame:
     wide = (
@@ -144,20 +156,31 @@ FROM top300 JOIN customer ON c_custkey = cust_id
 WHERE rnk <= 300 GROUP BY channel_desc, cust_id, c_name HAVING count(DISTINCT year_sales) = 3"""
 
 
-@query("r11_top300_in_all_years", R11_SQL)
-def r11(spark: SparkSession, sf: str) -> DataFrame:
-    years = (1998, 1999, 2001)
-    leaders = yearly_leaders(order_sales(spark, sf, "1998-01-01", "2002-01-01"), years, 300)
+def leading_in_all(sales: DataFrame, years: Sequence[int], k: int, names: DataFrame) -> DataFrame:
+    leaders = yearly_leaders(sales, years, k)
     always = (
         leaders.groupBy("channel_desc", "cust_id")
         .agg(F.sum("_cents").alias("_cents"), F.countDistinct("year_sales").alias("_years"))
         .filter(F.col("_years") == len(years))
     )
-    return settled(always, "always-leading").join(customer_names(spark, sf), "cust_id").select(
+    return settled(always, "always-leading").join(names, "cust_id").select(
         "channel_desc", "cust_id", "cust_name", money("_cents").alias("amount_sold")
     ).orderBy(F.col("amount_sold").desc(), "channel_desc", "cust_id")
 
 
+@query("r11_top300_in_all_years", R11_SQL)
+def r11(spark: SparkSession, sf: str) -> DataFrame:
+    sales = order_sales(spark, sf, "1998-01-01", "2002-01-01")
+    return leading_in_all(sales, (1998, 1999, 2001), 300, customer_names(spark, sf))
+
+
+@query("r11c_top300_stored", R11_SQL)
+def r11_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """On facts stored by order."""
+    sales = stored_order_sales(spark, sf, "1998-01-01", "2002-01-01")
+    return leading_in_all(sales, (1998, 1999, 2001), 300, customer_names(spark, sf))
+
+
 @query("r11_top300_in_all_years_joins", R11_SQL)
 def r11_joins(spark: SparkSession, sf: str) -> DataFrame:
     years = (1998, 1999, 2001)
