@@ -73,8 +73,9 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
     bad = F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & ~bad
                         & F.exists("embedding", lambda v: v != 0), F.lit(False))
-    rows = rows.withColumn("usable", usable).withColumn(
-        "class", F.when(F.col("usable"), F.xxhash64("label", "embedding")))
+    # 128 bits: among 10^9 vectors two different ones are taken for equal with a chance below 1e-20
+    both = [F.lpad(F.hex(F.xxhash64(F.lit(half), "label", "embedding")), 16, "0") for half in (1, 2)]
+    rows = rows.withColumn("usable", usable).withColumn("class", F.when(F.col("usable"), F.concat(*both)))
     table = written(rows.select("vec_id", "class", F.when(F.col("usable"), F.col("label")).alias("label"),
                                 F.when(F.col("usable"), F.col("embedding")).alias("embedding")), "vectors")
     distinct = table.where("class is not null").groupBy("class", "label", "embedding").agg(
@@ -94,7 +95,7 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
                     "signs": list(signatures(unit, tables, bits))})
 
     classes = written(distinct.mapInPandas(
-        hashed, f"class bigint, label {kind}, width int, copies bigint, unit binary, signs array<bigint>"),
+        hashed, f"class string, label {kind}, width int, copies bigint, unit binary, signs array<bigint>"),
         "vector-classes")
     keys = ["label", "width", "t", "sign"]
     buckets = classes.select("class", "label", "width", F.posexplode("signs").alias("t", "sign"))
@@ -124,14 +125,14 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
         a, b = np.nonzero(near)
         if not len(a):
             return None
-        n, ids = len(left), np.array([r[7] for r in left + (right if x != y else [])])
+        n, ids = len(left), np.array([r[7] for r in left + (right if x != y else [])], dtype=object)
         copies = np.array([r[8] for r in left + (right if x != y else [])])
         b = b + (n if x != y else 0)
         links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
         on = np.flatnonzero(links)
         joined = {}
         for i, j in forest(a, b, len(ids)):
-            joined.setdefault(i, []).append(int(ids[j]))
+            joined.setdefault(i, []).append(ids[j])
         return pd.DataFrame({"class": ids[on], "links": links[on].astype(np.int64),
                              "others": [joined.get(int(i), []) for i in on]})
 
@@ -147,8 +148,8 @@ def embedding_components(vectors: DataFrame, least: float = 0.98, tables: int =
         if rows and (found := compared(rows)) is not None:
             yield pa.RecordBatch.from_pandas(found, result, preserve_index=False)
 
-    result = pa.schema([("class", pa.int64()), ("links", pa.int64()), ("others", pa.list_(pa.int64()))])
-    found = written(dealt.mapInArrow(linked, "class bigint, links bigint, others array<bigint>"), "vector-links")
+    result = pa.schema([("class", pa.string()), ("links", pa.int64()), ("others", pa.list_(pa.string()))])
+    found = written(dealt.mapInArrow(linked, "class string, links bigint, others array<string>"), "vector-links")
     groups = components(found.select(F.col("class").alias("a"), F.explode("others").alias("b")))
     per_class = (
         classes.select("class", "copies")
