@@ -12,12 +12,12 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.operators.textindex import BLOCK, build_index
+from tallymark.operators.textindex import BLOCK, LISTS, inverted, merge_lists, placed, share_of, shares
 
-LISTS = "word string, block long, n_docs long, doc_ids array<long>"
 IDS = "doc_id long"
 STATE = "version long, place long, segment string"
 
@@ -55,17 +55,22 @@ class IndexLog:
     def _ids(self, segment: str) -> DataFrame:
         return self.spark.read.schema(IDS).parquet(f"{self.path}/{segment}/ids")
 
-    def _write(self, lists: DataFrame, ids: DataFrame) -> str:
+    def _write(self, lists: DataFrame, ids: DataFrame | None = None) -> str:
+        """``ids`` are those of the lists unless given."""
         segment = f"segment-{uuid.uuid4().hex}"
         lists.write.parquet(f"{self.path}/{segment}/lists")
+        if ids is None:  # from what is written: the lists are made once
+            ids = self._lists(segment).select(F.explode("doc_ids").alias("doc_id")).distinct()
         ids.write.parquet(f"{self.path}/{segment}/ids")
         return segment
 
     def add(self, docs: DataFrame) -> None:
         """``docs(doc_id, text)``; of rows with one id in a load the greatest text counts, a null id none."""
-        one = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.max("text").alias("text"))
-        lists = build_index(one, self.block).select("word", "block", "n_docs", "doc_ids")
-        segment = self._write(lists, one.select("doc_id"))
+        known = docs.filter("doc_id is not null")
+        # the texts of an id meet where its block is inverted
+        one = placed(known, self.block).groupBy("block", "run", "doc_id").agg(F.max("text").alias("text"))
+        ids = known.select(F.col("doc_id").cast("long")).distinct()
+        segment = self._write(inverted(one, self.block), ids)
         self._set_state([*self.segments(), segment])
 
     def delete(self, ids: DataFrame) -> None:
@@ -83,13 +88,15 @@ class IndexLog:
         gone = (
             owners.join(twice, "doc_id").filter("_s < _last")
             .groupBy("_s", F.floor(F.col("doc_id") / self.block).alias("block"))
-            .agg(F.collect_set("doc_id").alias("_gone")))  # at most a block of ids
+            .agg(F.collect_set("doc_id").alias("ids"))  # at most a block of ids
+            .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares(self.block) - 1).cast("long")))))
         lists = reduce(DataFrame.unionByName, [self._lists(s).withColumn("_s", F.lit(i)) for i, s in numbered])
-        left = lists.join(gone, ["_s", "block"], "left").withColumn(
-            "doc_ids", F.when(F.col("_gone").isNull(), F.col("doc_ids")).otherwise(F.array_except("doc_ids", "_gone")))
-        whole = left.filter(F.size("doc_ids") > 0).groupBy("word", "block").agg(
-            F.array_sort(F.flatten(F.collect_list("doc_ids"))).alias("doc_ids"))
-        return whole.select("word", "block", F.size("doc_ids").cast("long").alias("n_docs"), "doc_ids")
+        shared = lists.select("word", "block", "doc_ids", "_s", share_of(F.col("word"), self.block).alias("_share"))
+
+        def merged(key: tuple, some: pa.Table, old: pa.Table) -> pa.Table:
+            return merge_lists(key[0].as_py(), some, old)
+
+        return shared.groupBy("block", "_share").cogroup(gone.groupBy("block", "_share")).applyInArrow(merged, LISTS)
 
     def index(self) -> DataFrame:
         """(word, block, n_docs, doc_ids) of the documents that count, as ``build_index`` gives it."""
@@ -112,8 +119,5 @@ class IndexLog:
         if len(newest) < 2:
             return
         lists = self._merged(newest)
-        if start:
-            ids = reduce(DataFrame.union, map(self._ids, newest)).distinct()
-        else:
-            ids = lists.select(F.explode("doc_ids").alias("doc_id")).distinct()
+        ids = reduce(DataFrame.union, map(self._ids, newest)).distinct() if start else None
         self._set_state([*segments[:start], self._write(lists, ids)])

@@ -6,7 +6,10 @@ everywhere is many bounded rows, never one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import ascii_words, words
@@ -15,6 +18,10 @@ from tallymark.operators.joins import null_safe_join
 
 BLOCK = 65_536
 BUCKETS = 64
+#: Ids whose documents are inverted at once; a larger block is put together from such runs.
+RUN = 2_048
+
+LISTS = "word string, block long, n_docs long, doc_ids array<long>"
 
 
 def dealt(docs: DataFrame) -> DataFrame:
@@ -29,15 +36,94 @@ def postings(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(F.array_distinct(words("text"))).alias("word"), "doc_id")
 
 
+def lists_of(words: pa.Array, codes: np.ndarray, ids: np.ndarray, block: int | None) -> pa.Table:
+    """Lists of one block: ``ids[i]`` goes to the word ``words[codes[i]]``. Words without ids are left out."""
+    low, high = (int(ids.min()), int(ids.max())) if len(ids) else (0, 0)
+    span = high - low + 1
+    # word and id in one number: the ids of a block are near each other
+    order = np.sort(codes.astype(np.int64) * span + (ids - low))
+    sizes = np.bincount(codes, minlength=len(words))
+    some = np.flatnonzero(sizes)
+    ends = np.concatenate(([0], np.cumsum(sizes[some])))
+    return pa.table({
+        "word": words.take(pa.array(some)), "block": pa.array([block] * len(some), pa.int64()),
+        "n_docs": pa.array(sizes[some], pa.int64()),
+        "doc_ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(order % span + low, pa.int64()))})
+
+
+def flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The items of all lists, and the row that each comes from; a null list has none."""
+    whole = lists.combine_chunks()
+    return pc.list_flatten(whole), pc.list_parent_indices(whole).to_numpy()
+
+
+def _invert(key: tuple, docs: pa.Table) -> pa.Table:
+    words, row = flat(docs["words"])
+    coded = words.dictionary_encode()
+    return lists_of(coded.dictionary, coded.indices.to_numpy(), docs["doc_id"].to_numpy()[row], key[0].as_py())
+
+
+def merge_lists(block: int | None, lists: pa.Table, gone: pa.Table | None = None) -> pa.Table:
+    """One list a word; ``gone(_s, ids)`` are taken from the lists of their segment ``_s``."""
+    ids, row = flat(lists["doc_ids"])
+    ids = ids.to_numpy()
+    coded = lists["word"].combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy()[row]
+    if gone is not None and gone.num_rows:
+        segment, keep = lists["_s"].to_numpy()[row], np.ones(len(ids), bool)
+        for s, old in zip(gone["_s"].to_pylist(), gone["ids"], strict=True):
+            keep &= (segment != s) | ~np.isin(ids, old.values.to_numpy())
+        ids, codes = ids[keep], codes[keep]
+    return lists_of(coded.dictionary, codes, ids, block)
+
+
+def shares(block: int) -> int:
+    """Groups by hash of the word that the lists of a block are merged in."""
+    return -(-block // RUN)
+
+
+def share_of(word: Column, block: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(shares(block)))
+
+
+def placed(docs: DataFrame, block: int) -> DataFrame:
+    """``docs(doc_id, text)`` with the block and the run of the id, dealt out by them."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = F.col("doc_id").cast("long")
+    return docs.select(
+        number.alias("doc_id"), "text", F.floor(number / block).alias("block"),
+        F.floor(number / min(block, RUN)).alias("run")).repartition(partitions, "block", "run")
+
+
+def inverted(docs: DataFrame, block: int) -> DataFrame:
+    """The lists of what `placed` gives, no id null.
+
+    All documents of a run are in one task, so its words meet there; texts are put in order before
+    their words are cut. Lists of runs are merged where a block has several.
+    """
+    cut = docs.sortWithinPartitions("block", "run").select(
+        "block", "run", "doc_id", F.array_distinct(words("text")).alias("words"))
+    lists = cut.groupBy("block", "run").applyInArrow(_invert, LISTS)
+    if shares(block) == 1:
+        return lists
+
+    def merged(key: tuple, some: pa.Table) -> pa.Table:
+        return merge_lists(key[0].as_py(), some)
+
+    return lists.withColumn("_share", share_of(F.col("word"), block)).groupBy("block", "_share").applyInArrow(merged, LISTS)
+
+
 def build_index(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(word, block, n_docs, doc_ids): ids ascending, at most ``block`` of them in a row.
 
-    Ids have nothing to combine before the shuffle, so the pairs are sent first and
-    collected once, where they arrive.
+    Documents are dealt by runs of ids and inverted where they arrive; what is sent afterwards are
+    lists of runs. Documents without an id are counted in a null block without ids.
     """
-    numbered = postings(dealt(docs.select("doc_id", "text"))).withColumn("block", F.floor(F.col("doc_id") / block))
-    return numbered.repartition("word", "block").groupBy("word", "block").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    docs = docs.select("doc_id", "text")
+    lists = inverted(placed(docs.filter("doc_id is not null"), block), block)
+    nameless = postings(docs.filter("doc_id is null")).groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
+    return lists.unionByName(nameless.select(
+        "word", F.lit(None).cast("long").alias("block"), "n_docs", F.array().cast("array<long>").alias("doc_ids")))
 
 
 def save_index(index: DataFrame, path: str, buckets: int = BUCKETS, fmt: str = "parquet") -> None:

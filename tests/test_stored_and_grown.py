@@ -1,5 +1,7 @@
 """Facts stored by key, and an index that grows."""
 
+import re
+
 import pytest
 
 from tallymark.operators.indexlog import IndexLog
@@ -88,3 +90,50 @@ def test_a_load_that_fails_changes_nothing(spark, log):
     with pytest.raises(Exception, match="no"):
         log.add(bad)
     assert lists(log.index()) == before and len(log.segments()) == 1
+
+
+def plain_lists(rows, block):
+    """Of documents whose texts are split at blanks; a repeated id stands as often as it has the word."""
+    found = {}
+    for i, text in rows:
+        for word in set((text or "").lower().split()):
+            found.setdefault((word, None if i is None else i // block), []).append(i)
+    return [(w, b, len(ids), sorted(i for i in ids if i is not None)) for (w, b), ids in found.items()]
+
+
+@pytest.mark.parametrize("block", [10, 2_048, 5_000, 65_536])
+def test_lists_of_runs_repeated_and_missing_ids(spark, block):
+    """Blocks of several runs, ids below zero and beyond doubles' reach, one id twice, ids that are null."""
+    ids = [*range(0, 9_000, 7), *range(3, 9_000, 11), -1, -2_049, 1 << 40, None, None]
+    rows = [(i, f"common w{n % 5} Only{n}") for n, i in enumerate(ids)] + [(7, None), (8, "")]
+    got = [tuple(r) for r in build_index(spark.createDataFrame(rows, SCHEMA), block).collect()]
+    key = lambda r: (r[0], r[1] is None, r[1] or 0)
+    assert sorted(got, key=key) == sorted(plain_lists(rows, block), key=key)
+
+
+def test_postings_of_a_block_meet_without_a_shuffle_of_words(spark, log, monkeypatch):
+    """Texts alone are dealt for an index or a load, and a merge makes its lists once."""
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    docs = spark.createDataFrame(TEXTS, SCHEMA)
+    assert not re.search(r"hashpartitioning\(word#\d+, block", plan_of(build_index(docs, 10)))
+    log.add(docs)
+    log.add(docs.limit(5))
+    made, merged = [], IndexLog._merged
+    monkeypatch.setattr(IndexLog, "_merged", lambda self, segments: made.append(merged(self, segments)) or made[-1])
+    assert "array_except" not in plan_of(log.index()) and "flatten" not in plan_of(log.index())
+    made.clear()
+    written, write = [], IndexLog._write
+    monkeypatch.setattr(IndexLog, "_write", lambda self, lists, ids=None: written.append(ids) or write(self, lists, ids))
+    log.merge()
+    assert len(made) == 1 and written == [None]
+    assert lists(log.index()) == built(spark, TEXTS)
+
+
+def test_a_merge_of_large_blocks_in_shares(spark, tmp_path):
+    log = IndexLog(spark, str(tmp_path / "large"), block=5_000)
+    rows = [(i, f"common w{i % 9} only{i}") for i in range(6_000)]
+    log.add(spark.createDataFrame(rows, SCHEMA))
+    log.add(spark.createDataFrame([(i, "other common") for i in range(0, 6_000, 3)], SCHEMA))
+    log.delete(spark.createDataFrame([(i,) for i in range(0, 6_000, 6)], "doc_id long"))
+    want = [(i, t) if i % 3 else (i, "other common") for i, t in rows if i % 6]
+    assert lists(log.index()) == sorted(plain_lists(want, 5_000))
