@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 #: Numbers of a bitmap, as Spark's bitmap functions have them.
 SPAN = 32_768
@@ -25,6 +28,31 @@ def to_bitmaps(members: DataFrame, keys: Sequence[str], number: str) -> DataFram
         F.bitmap_construct_agg(place).alias("bits"))
 
 
+def lists_to_bitmaps(lists: DataFrame, keys: Sequence[str], numbers: str) -> DataFrame:
+    """`to_bitmaps` of numbers that come as lists: a list becomes bitmaps as a whole, and its numbers
+    are neither made rows nor sorted; what is merged by key are bitmaps."""
+    schema = StructType([*(lists.schema[k] for k in keys), StructField("span", LongType()), StructField("bits", BinaryType())])
+
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, spans, bits = [], [], []
+            for i, one in enumerate(batch.column(numbers)):
+                each = one.values.drop_null().to_numpy() if one.is_valid else np.empty(0, np.int64)
+                of = each // SPAN
+                for span in np.unique(of):
+                    marks = np.zeros(SPAN, np.uint8)
+                    marks[each[of == span] - span * SPAN] = 1
+                    row.append(i)
+                    spans.append(int(span))
+                    bits.append(np.packbits(marks, bitorder="little").tobytes())
+            held = batch.select(list(keys)).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*held.columns, pa.array(spans, pa.int64()), pa.array(bits, pa.binary())], names=schema.names)
+
+    made = lists.select(*keys, F.col(numbers).cast("array<long>")).mapInArrow(bitmaps, schema)
+    return made.groupBy(*keys, "span").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
 def in_all(sets: DataFrame, keys: Sequence[str], of: Column) -> DataFrame:
     """(keys, span, bits) of the numbers that ``of`` sets share, given one row per set and span."""
     met = sets.groupBy(*keys, "span").agg(

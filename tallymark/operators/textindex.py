@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import ascii_words, words
-from tallymark.operators.bitmaps import in_all, numbers_of, to_bitmaps
+from tallymark.operators.bitmaps import in_all, lists_to_bitmaps, numbers_of
 from tallymark.operators.joins import null_safe_join
 
 BLOCK = 65_536
@@ -165,7 +165,7 @@ def query_index(index: DataFrame, asked: DataFrame) -> DataFrame:
     whole = null_safe_join(found, sizes, ["query_id"]).filter("n_found = n_words").drop("n_found")
     wanted = null_safe_join(asked, whole, ["query_id"])
     lists = relevant.join(wanted.select("word", "block").distinct(), ["word", "block"], "left_semi")
-    bits = to_bitmaps(lists.select("word", "block", F.explode("doc_ids").alias("doc_id")), ["word", "block"], "doc_id")
+    bits = lists_to_bitmaps(lists, ["word", "block"], "doc_ids")
     sets = wanted.join(bits, ["word", "block"])
     return numbers_of(in_all(sets, ["query_id", "block"], F.col("n_words")), "doc_id").select("query_id", "doc_id")
 

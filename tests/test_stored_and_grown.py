@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tallymark.operators.bitmaps import SPAN, lists_to_bitmaps, numbers_of, to_bitmaps
 from tallymark.operators.indexlog import IndexLog
 from tallymark.operators.textindex import build_index, query_index, query_words
 from tallymark.plans import QUERIES, account_reports, rental_reports, sales_reports
@@ -137,3 +138,27 @@ def test_a_merge_of_large_blocks_in_shares(spark, tmp_path):
     log.delete(spark.createDataFrame([(i,) for i in range(0, 6_000, 6)], "doc_id long"))
     want = [(i, t) if i % 3 else (i, "other common") for i, t in rows if i % 6]
     assert lists(log.index()) == sorted(plain_lists(want, 5_000))
+
+
+def test_lists_become_bitmaps_as_their_numbers_do(spark):
+    """Unordered, repeated, negative and null numbers, spans' edges, null and empty lists, one key in two rows."""
+    rows = [("a", [5, SPAN - 1, SPAN, 5, -1, None]), ("a", [6, 1 << 40]), ("b", []), ("c", None), (None, [-SPAN, -SPAN - 1])]
+    df = spark.createDataFrame(rows, "k string, ids array<long>")
+    got = lists_to_bitmaps(df, ["k"], "ids")
+    each = df.selectExpr("k", "explode(ids) as id").filter("id is not null")
+    as_rows = lambda d: sorted((str(r.k), r.span, bytes(r.bits)) for r in d.collect())
+    assert as_rows(got) == as_rows(to_bitmaps(each, ["k"], "id")) != []
+    numbers = {(r.k, r.n) for r in numbers_of(got, "n").collect()}
+    assert numbers == {(k, i) for k, ids in rows for i in ids or () if i is not None}
+
+
+def test_a_batch_of_queries_sorts_no_numbers_of_lists(spark):
+    """Lists are read as lists: their ids are not made rows before they are bitmaps."""
+    docs = [(i, f"common w{i % 3} only{i}") for i in range(300)]
+    index = build_index(spark.createDataFrame(docs, SCHEMA), 100)
+    asked = query_words(spark.createDataFrame(
+        [("q", "common W1"), ("r", "only7 w2"), ("s", "only7 w1")], "query_id string, query string"))
+    found = query_index(index, asked)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode(doc_ids" not in plan and "bitmap_construct_agg" not in plan
+    assert {(r.query_id, r.doc_id) for r in found.collect()} == {("q", i) for i in range(1, 300, 3)} | {("s", 7)}
